@@ -19,10 +19,12 @@ from broadsheet.functions.text import clean_headline, unescape_entities
 _QUOTED_OR_BARE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++)"""
 _TAG_BODY = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 
+# An element is listed without its opening angle bracket: with that bracket in front
+# of the whole pattern, text between tags is skipped at the speed of a character search.
 ELEMENTS = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(?:script|style)\b.*?(?:</(?:script|style)\s*+>|\z)"
-    rf"|(<meta\b{_TAG_BODY}>|<h1\b{_TAG_BODY}>.*?(?:</h1\s*+>|\z))"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|(?:script|style)\b.*?(?:</(?:script|style)\s*+>|\z)"
+    rf"|(meta\b{_TAG_BODY}>|h1\b{_TAG_BODY}>.*?(?:</h1\s*+>|\z)))"
 )
 INNER_MARKUP = rf"(?is)<!--.*?-->|</?[a-z!?]{_TAG_BODY}>"
 
@@ -31,7 +33,7 @@ def _up_to(tag: str, attribute: str) -> str:
     """Pattern from the tag's start to the value of an attribute, walking whole attributes."""
     name = re.escape(attribute)
     skip = rf"(?:[\s/]++(?!(?i:{name})[\s=])[^\s=/>]++(?:\s*+=\s*+{_QUOTED_OR_BARE})?+)*+"
-    return rf"(?s)^<(?i:{tag}){skip}[\s/]++(?i:{name})\s*+=\s*+"
+    return rf"(?s)^(?i:{tag}){skip}[\s/]++(?i:{name})\s*+=\s*+"
 
 
 def attribute_value(element: Column, tag: str, attribute: str) -> Column:
@@ -49,12 +51,12 @@ def _has_value(element: Column, tag: str, attribute: str, value: str) -> Column:
 
 def inner_text(element: Column) -> Column:
     """Raw text of an ``<h1>`` element, its tags turned into spaces."""
-    body = F.regexp_replace(element, rf"(?is)^<h1\b{_TAG_BODY}>|</h1\s*+>$", "")
+    body = F.regexp_replace(element, rf"(?is)^h1\b{_TAG_BODY}>|</h1\s*+>$", "")
     return F.regexp_replace(body, INNER_MARKUP, " ")
 
 
 def _is(tag: str):
-    return lambda element: element.rlike(rf"(?i)^<{tag}\b")
+    return lambda element: element.rlike(rf"(?i)^{tag}\b")
 
 
 def _h1_match(element: Column, kind: str, attribute: str, value: str) -> Column:

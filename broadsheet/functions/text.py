@@ -53,7 +53,7 @@ def _character(code: Column) -> Column:
     )
     return (
         F.when(code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("�"))
-        .when(code.isin(*_c1_replacements()), _lookup(_c1_replacements(), code.cast("string")))
+        .when(code.between(0x80, 0x9F) | code.isin(0x00, 0x0D), _lookup(_c1_replacements(), code.cast("string")))
         .when(noncharacter, F.lit(""))
         .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     )
