@@ -120,10 +120,13 @@ def tfidf_vectors(
         document_terms(df, text, options, key, *keep)
         .join(side, "term", "left")
         .groupBy(key, *keep)
-        .agg(F.sort_array(F.collect_list(pair)).alias("pairs"))
+        .agg(
+            F.sort_array(F.collect_list(pair)).alias("pairs"),
+            # summed beside the list: computed later it would be repeated for every weight
+            F.sqrt(F.sum(raw_weight(options) * raw_weight(options))).alias("norm"),
+        )
     )
-    norm = F.sqrt(F.aggregate("pairs", F.lit(0.0), lambda acc, p: acc + p["w"] * p["w"]))
-    return packed.withColumn("norm", norm).select(
+    return packed.select(
         key,
         *keep,
         F.struct(

@@ -21,6 +21,7 @@ from broadsheet.config import (
     SITE_RULES,
     SITE_SUFFIXES,
 )
+from broadsheet.functions.binding import computed
 from broadsheet.functions.html import extract_headline, mirror_title
 from broadsheet.functions.urls import label_from_host, slug_headline, source_from_host, url_variants
 from broadsheet.sources.schemas import RESOLVED
@@ -65,18 +66,19 @@ def judge_captures(captures: DataFrame, rules=SITE_RULES, suffixes=SITE_SUFFIXES
         .when(wrong_type, F.concat(F.lit(CONTENT_TYPE_ERROR), content_type))
         .otherwise(per_stage(stage, EMPTY_ERROR))
     )
-    judged = captures.withColumn("source", source_from_host(F.col("url"), rules)).select(
+    fetched_at = F.col("fetched_at") if "fetched_at" in captures.columns else F.lit(None).cast("timestamp")
+    elapsed_ms = F.col("elapsed_ms") if "elapsed_ms" in captures.columns else F.lit(None).cast("bigint")
+    sourced = computed(captures, source_from_host(F.col("url"), rules).alias("source"))
+    judged = computed(sourced, headline.alias("headline"))
+    return judged.select(
         "url",
         F.struct("stage", "variant", "attempt").alias("turn"),
         "status_code",
         "final_url",
-        F.col("fetched_at") if "fetched_at" in captures.columns else F.lit(None).cast("timestamp").alias("fetched_at"),
-        F.col("elapsed_ms") if "elapsed_ms" in captures.columns else F.lit(None).cast("bigint").alias("elapsed_ms"),
-        headline.alias("headline"),
-        failure.alias("failure"),
-    )
-    return judged.withColumn("error", F.when(F.col("headline") == "", F.col("failure")).otherwise(F.lit(""))).drop(
-        "failure"
+        fetched_at.alias("fetched_at"),
+        elapsed_ms.alias("elapsed_ms"),
+        "headline",
+        F.when(F.col("headline") == "", failure).otherwise(F.lit("")).alias("error"),
     )
 
 
@@ -131,7 +133,7 @@ def resolve(
     )
     won = F.col("win").isNotNull()
     last_final = F.coalesce("last_final", "url")
-    out = joined.withColumn("slug", F.when(F.col("win").isNull(), slug)).select(
+    out = computed(joined, F.when(F.col("win").isNull(), slug).alias("slug")).select(
         "url",
         source_from_host(F.col("url"), rules).alias("source"),
         label_from_host(F.col("url"), rules).alias("label"),
@@ -167,28 +169,22 @@ def resolve_single(pages: DataFrame, *, allow_url_fallback: bool = False, rules=
     """
     url, html = F.col("url"), F.coalesce("html", F.lit(""))
     others = [c for c in pages.columns if c not in ("url", "html")]
-    found = pages.withColumn("source", source_from_host(url, rules)).select(
+    sourced = computed(pages, source_from_host(url, rules).alias("source"))
+    found = computed(sourced, extract_headline(html, F.col("source"), rules, suffixes=suffixes).alias("extracted"))
+    slug = slug_headline(url) if allow_url_fallback else F.lit("")
+    slugged = computed(found, F.when(F.col("extracted") == "", slug).otherwise(F.lit("")).alias("slug"))
+    headline = F.when(F.col("extracted") != "", F.col("extracted")).otherwise(F.col("slug"))
+    return slugged.select(
         *others,
         "url",
         "source",
-        extract_headline(html, F.col("source"), rules, suffixes=suffixes).alias("extracted"),
-    )
-    slug = slug_headline(url) if allow_url_fallback else F.lit("")
-    return (
-        found.withColumn("slug", F.when(F.col("extracted") == "", slug))
-        .withColumn("headline", F.coalesce(F.nullif("extracted", F.lit("")), "slug", F.lit("")))
-        .select(
-            *others,
-            "url",
-            "source",
-            label_from_host(url, rules).alias("label"),
-            (F.col("headline") != "").alias("success"),
-            "headline",
-            F.when(F.col("extracted") != "", F.lit(METHOD_DIRECT))
-            .when(F.col("slug") != "", F.lit(METHOD_SLUG))
-            .otherwise(F.lit(METHOD_NONE))
-            .alias("headline_method"),
-        )
+        label_from_host(url, rules).alias("label"),
+        (headline != "").alias("success"),
+        headline.alias("headline"),
+        F.when(F.col("extracted") != "", F.lit(METHOD_DIRECT))
+        .when(F.col("slug") != "", F.lit(METHOD_SLUG))
+        .otherwise(F.lit(METHOD_NONE))
+        .alias("headline_method"),
     )
 
 

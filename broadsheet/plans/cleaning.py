@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from broadsheet.config import CleaningOptions, SITE_RULES, SITE_SUFFIXES
+from broadsheet.functions.binding import computed
 from broadsheet.functions.labels import resolve_label
 from broadsheet.functions.text import clean_headline, dedup_key, has_alphanumeric, normalise, strip
 from broadsheet.functions.urls import url_key, url_words
@@ -41,15 +42,14 @@ def drop_reason(
 
 def _marked(raw: DataFrame, min_chars: int, drop_symbol_only: bool, suffixes) -> DataFrame:
     """Raw rows with their final headline, trimmed URL and drop reason."""
-    prepared = raw.withColumn(
-        "headline", clean_headline(F.coalesce("headline", F.lit("")), suffixes)
-    ).withColumn("url", strip(F.coalesce("url", F.lit(""))))
-    return prepared.withColumn(
-        "reason",
-        drop_reason(
-            F.coalesce("success", F.lit(False)), F.col("label"), F.col("headline"), min_chars, drop_symbol_only
-        ),
-    )
+    prepared = computed(
+        raw.withColumnsRenamed({"headline": "__headline", "url": "__url"}),
+        clean_headline(F.coalesce("__headline", F.lit("")), suffixes).alias("headline"),
+        strip(F.coalesce("__url", F.lit(""))).alias("url"),
+    ).drop("__headline", "__url")
+    success = F.coalesce("success", F.lit(False))
+    reason = drop_reason(success, F.col("label"), F.col("headline"), min_chars, drop_symbol_only)
+    return computed(prepared, reason.alias("reason"))
 
 
 def clean_resolved(
@@ -139,20 +139,12 @@ def prepare_dataset(df: DataFrame, order: str, options: CleaningOptions = Cleani
     else:
         chosen = F.nullif(F.col("text"), F.lit(""))
     # a row without text, and without a URL to stand in, is skipped unseen
-    rows = (
-        roles.withColumn("text", text)
-        .withColumn("text", chosen)
-        .filter(F.col("text").isNotNull())
-        .select("ord", "url", "raw_label", "text")
-    )
+    rows = computed(computed(roles, text.alias("text")), chosen.alias("chosen")).filter(F.col("chosen").isNotNull())
+    rows = rows.select("ord", "url", "raw_label", F.col("chosen").alias("text"))
     if options.remove_duplicate_urls:
         rows = keep_first_or_blank(rows, url_key(F.col("url")), F.col("ord"), "ord")
-    rows = rows.select(
-        "ord",
-        "url",
-        "text",
-        resolve_label(F.col("raw_label"), F.col("url"), options.site_rules).alias("label"),
-    )
+    label = resolve_label(F.col("raw_label"), F.col("url"), options.site_rules)
+    rows = computed(rows, label.alias("label")).drop("raw_label")
     keep = F.col("label").isNotNull() & (F.col("text") != "")
     if options.min_headline_chars > 0:
         keep = keep & (F.length("text") >= options.min_headline_chars)
@@ -161,7 +153,7 @@ def prepare_dataset(df: DataFrame, order: str, options: CleaningOptions = Cleani
     rows = rows.filter(keep)
     if options.remove_duplicate_headlines:
         rows = keep_first(rows, text_digest(dedup_key(F.col("text"))), "ord")
-    return rows
+    return rows.select("ord", "url", "text", "label")
 
 
 def prepare_data(df: DataFrame, order: str, site_rules=SITE_RULES) -> DataFrame:
@@ -175,12 +167,13 @@ def clean_frame(df: DataFrame, strict: bool, order: tuple[str, ...] = ("ord",))
     Loose keeps every row with a headline. Strict adds the length and symbol
     filters and both dedups; rows with a blank URL count as one URL.
     """
-    out = (
-        df.withColumn("headline", normalise(F.coalesce("headline", F.lit(""))))
-        .withColumn("url", strip(F.coalesce("url", F.lit(""))))
-        .withColumn("label", F.col("label").cast("int"))
-        .filter(F.col("headline") != "")
-    )
+    out = computed(
+        df.withColumnsRenamed({"headline": "__headline", "url": "__url", "label": "__label"}),
+        normalise(F.coalesce("__headline", F.lit(""))).alias("headline"),
+        strip(F.coalesce("__url", F.lit(""))).alias("url"),
+        F.col("__label").cast("int").alias("label"),
+    ).filter(F.col("headline") != "")
+    out = out.select(*df.columns)
     if not strict:
         return out
     out = out.filter((F.length("headline") >= 8) & has_alphanumeric(F.col("headline")))
