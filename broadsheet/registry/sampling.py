@@ -8,6 +8,7 @@ from broadsheet.operators import sampling as S
 from broadsheet.plans.cleaning import clean_frame
 from broadsheet.registry import sql
 from broadsheet.registry.base import experiment_corpus, query, table
+from broadsheet.session import materialise
 
 
 @query(
@@ -56,9 +57,14 @@ _STRESS = f"""stress AS (
 )"""
 
 
+def _corpus(spark, sf):
+    # drawing passes over the rows several times, so pages are parsed once beforehand
+    return materialise(experiment_corpus(spark, sf), "corpus")
+
+
 @query("label_conflict_stress", sql=f"WITH {sql.EXPERIMENT}, {_STRESS} SELECT * FROM stress")
 def label_conflict_stress(spark, sf):
-    return S.inject_label_conflicts(experiment_corpus(spark, sf), "ord", 0.5, 123)
+    return S.inject_label_conflicts(_corpus(spark, sf), "ord", 0.5, 123)
 
 
 @query(
@@ -67,7 +73,7 @@ def label_conflict_stress(spark, sf):
 )
 def label_conflict_cleaned(spark, sf):
     """Strict cleaning removes what was injected."""
-    stressed = S.inject_label_conflicts(experiment_corpus(spark, sf), "ord", 0.5, 123)
+    stressed = S.inject_label_conflicts(_corpus(spark, sf), "ord", 0.5, 123)
     return clean_frame(stressed, strict=True, order=S.CONFLICT_ORDER)
 
 
