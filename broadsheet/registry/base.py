@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from broadsheet.config import SiteRule
 from broadsheet.operators.resolve import resolve_single
+from broadsheet.session import spread
 
 # The given pages come from three example hosts; two of them stand for the two sites.
 RULES = (
@@ -36,8 +37,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Tables whose rows are expensive to work on; the others are cheap per row.
+TEXT_TABLES = ("pages", "documents")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in TEXT_TABLES else scan
 
 
 def resolved_pages(spark: SparkSession, sf_dir: str, slug: bool = False) -> DataFrame:

@@ -46,6 +46,17 @@ def working_dir(spark: SparkSession) -> str:
     return fresh
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core on a scan with fewer splits than there are cores.
+
+    Text work is bound by the processor, and a file with one row group is one task.
+    On tables large enough to matter there are more splits than cores, and this
+    returns the scan as it is. Call it on scans only.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def materialise(df: DataFrame, name: str, read_schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -55,4 +66,4 @@ def materialise(df: DataFrame, name: str, read_schema: StructType | None = None)
     spark = df.sparkSession
     path = f"{working_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(read_schema or df.schema).parquet(path)
+    return spread(spark.read.schema(read_schema or df.schema).parquet(path))
