@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import html.entities
 import re
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, functions as F
 
 from broadsheet.config import FIELD_SEPARATOR, QUOTE_CHARS, SITE_SUFFIXES
-from broadsheet.functions.binding import let
 
 # Unicode whitespace plus the four ASCII separators that Python also counts.
 WHITESPACE = r"(?U)[\s\x1C-\x1F]+"
@@ -35,69 +34,60 @@ def _c1_replacements() -> dict[int, str]:
     return table
 
 
-def _lookup(entries: dict, key: Column) -> Column:
-    """Value of a key in a constant table, null when missing. One literal in the plan."""
+def _literal(value: str) -> str:
+    """A Python string as a SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _lookup(entries: dict, key: str) -> str:
+    """SQL for the value of a key in a constant table, null when missing."""
     packed = "\x01".join(f"{k}\x02{v}" for k, v in entries.items())
-    return F.try_element_at(F.str_to_map(F.lit(packed), F.lit("\x01"), F.lit("\x02")), key)
-
-
-def _character(code: Column) -> Column:
-    """The character of a code point, with HTML's rules for unusable ones."""
-    noncharacter = (
-        code.between(0x1, 0x8)
-        | code.between(0xE, 0x1F)
-        | code.between(0x7F, 0x9F)
-        | code.between(0xFDD0, 0xFDEF)
-        | (code == 0xB)
-        | (code.bitwiseAND(F.lit(0xFFFE).cast("bigint")) == 0xFFFE)
-    )
-    return (
-        F.when(code.isNull() | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("�"))
-        .when(code.between(0x80, 0x9F) | code.isin(0x00, 0x0D), _lookup(_c1_replacements(), code.cast("string")))
-        .when(noncharacter, F.lit(""))
-        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-    )
-
-
-def _number(digits: Column, base: int) -> Column:
-    """Code point value; null when it cannot be one because it is too long."""
-    significant = F.regexp_replace(digits, "^0+", "")
-    return F.when(
-        F.length(significant) <= 8,
-        F.conv(F.when(significant == "", F.lit("0")).otherwise(significant), base, 10).cast("bigint"),
-    )
-
-
-def _decode_entity(name: Column) -> Column:
-    """Text of one reference, given without its ampersand."""
-    hexadecimal = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]+)", 1)
-    decimal = F.regexp_extract(name, "^#([0-9]+)", 1)
-    code = F.when(hexadecimal != "", _number(hexadecimal, 16)).otherwise(_number(decimal, 10))
-    # a complete name, or else the longest legacy name it starts with
-    prefix = F.regexp_extract(name, "^(?:" + "|".join(_legacy_names()) + ")", 0)
-    known = F.when(name.endswith(";"), name).otherwise(prefix)
-
-    def named(head: Column) -> Column:
-        return F.concat(
-            _lookup(html.entities.html5, head), F.substring(name, F.length(head) + 1, F.length(name))
-        )
-
-    return F.when(name.startswith("#"), let(code, _character)).otherwise(
-        F.coalesce(let(known, named), let(prefix, named), F.concat(F.lit("&"), name))
-    )
+    return f"try_element_at(str_to_map({_literal(packed)}, '\x01', '\x02'), {key})"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+@cache
+def _unescape_lambda() -> str:
+    """The decoder as a SQL lambda over a text: one expression however often it is used.
+
+    Number references follow HTML's rules for unusable code points. Names are looked
+    up whole, or else by the longest legacy name they start with.
+    """
+    character = f"""CASE
+        WHEN code IS NULL OR code > {0x10FFFF} OR code BETWEEN {0xD800} AND {0xDFFF} THEN '\uFFFD'
+        WHEN code BETWEEN {0x80} AND {0x9F} OR code IN (0, 13) THEN {_lookup(_c1_replacements(), "string(code)")}
+        WHEN code BETWEEN 1 AND 8 OR code = 11 OR code BETWEEN 14 AND 31 OR code = 127
+          OR code BETWEEN {0xFDD0} AND {0xFDEF} OR (code & {0xFFFE}) = {0xFFFE} THEN ''
+        ELSE decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32') END"""
+
+    def number(digits: str, base: int) -> str:
+        # more than eight significant digits cannot be a code point
+        value = f"bigint(conv(concat('0', significant), {base}, 10))"
+        body = f"CASE WHEN length(significant) <= 8 THEN {value} END"
+        return _let("significant", f"regexp_replace({digits}, '^0+', '')", body)
+
+    hexadecimal = "regexp_extract(ref, '^#[xX]([0-9a-fA-F]+)', 1)"
+    decimal = "regexp_extract(ref, '^#([0-9]+)', 1)"
+    code = f"CASE WHEN ref RLIKE '^#[xX]' THEN {number(hexadecimal, 16)} ELSE {number(decimal, 10)} END"
+    prefix = f"regexp_extract(ref, '^(?:{'|'.join(_legacy_names())})', 0)"
+    named = f"concat({_lookup(html.entities.html5, 'head')}, substring(ref, length(head) + 1))"
+    one = f"""CASE WHEN startswith(ref, '#') THEN {_let("code", code, character)}
+        ELSE coalesce({_let("head", f"CASE WHEN endswith(ref, ';') THEN ref ELSE {prefix} END", named)},
+                      {_let("head", prefix, named)}, concat('&', ref)) END"""
+    # one more piece than references: pair each piece with what follows it
+    joined = f"""array_join(zip_with(split(t, {_literal(ENTITY)}, -1),
+        transform(regexp_extract_all(t, {_literal(ENTITY)}, 1), ref -> {one}),
+        (piece, character) -> concat(piece, coalesce(character, ''))), '')"""
+    return f"t -> CASE WHEN contains(t, '&') THEN {joined} ELSE t END"
 
 
 def unescape_entities(text: Column) -> Column:
     """Decode HTML character references, once. Text without ``&`` passes through."""
-
-    def decode(t: Column) -> Column:
-        # one more piece than references: pair each piece with what follows it
-        pieces = F.split(t, ENTITY, -1)
-        decoded = F.transform(F.regexp_extract_all(t, F.lit(ENTITY), F.lit(1)), _decode_entity)
-        joined = F.zip_with(pieces, decoded, lambda p, d: F.concat(p, F.coalesce(d, F.lit(""))))
-        return F.when(t.contains("&"), F.array_join(joined, "")).otherwise(t)
-
-    return let(text, decode)
+    return F.element_at(F.call_function("transform", F.array(text), F.expr(_unescape_lambda())), 1)
 
 
 def squeeze(text: Column) -> Column:
