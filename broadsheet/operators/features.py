@@ -82,7 +82,7 @@ def with_idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
     return vocab.withColumn("idf", F.log((1 + n_docs.scalar()) / (1 + F.col("df"))) + 1)
 
 
-def _lookup_side(vocab: DataFrame, bound: int | None) -> DataFrame:
+def lookup_side(vocab: DataFrame, bound: int | None) -> DataFrame:
     """Broadcast a vocabulary only when its size is bounded and small."""
     return F.broadcast(vocab) if bound is not None and bound <= BROADCAST_TERMS else vocab
 
@@ -95,7 +95,7 @@ def raw_weight(options: TfidfOptions) -> Column:
 def tfidf_weights(df: DataFrame, key: str, text: str, vocab: DataFrame, options: TfidfOptions = TfidfOptions()) -> DataFrame:
     """``(key, term, weight)`` with unit-length rows; documents without terms have none."""
     terms = document_terms(df, text, options, key).filter(F.col("term").isNotNull())
-    weighted = terms.join(_lookup_side(vocab.select("term", "idf"), options.max_features), "term").select(
+    weighted = terms.join(lookup_side(vocab.select("term", "idf"), options.max_features), "term").select(
         key, "term", raw_weight(options).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
@@ -114,7 +114,7 @@ def tfidf_vectors(
     ``vocab`` has ``(term, idx, idf)``. Each document's weights meet once, as packed
     pairs; documents without a known term keep an empty vector.
     """
-    side = _lookup_side(vocab.select("term", "idx", "idf"), options.max_features)
+    side = lookup_side(vocab.select("term", "idx", "idf"), options.max_features)
     pair = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx"), raw_weight(options).alias("w")))
     packed = (
         document_terms(df, text, options, key, *keep)

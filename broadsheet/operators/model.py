@@ -20,7 +20,7 @@ from broadsheet.operators.features import (
     raw_weight,
     stored_vectors,
     tfidf_vectors,
-    _lookup_side,
+    lookup_side,
 )
 from broadsheet.sources.readers import CorpusError
 from broadsheet.sources.writers import read_metadata, write_metadata
@@ -94,7 +94,7 @@ def score_linear(
     A document's terms leave one task side by side, so its two sums are complete
     before the shuffle, which then moves one small row per document.
     """
-    side = _lookup_side(coefficients.select("term", "idf", "coef"), options.max_features)
+    side = lookup_side(coefficients.select("term", "idf", "coef"), options.max_features)
     w = raw_weight(options)
     sums = (
         document_terms(df, text, options, key, *keep)

@@ -36,8 +36,6 @@ def sf_dir():
 
 def evaluate(spark, inputs, expression, column="v", schema=None):
     """Apply a Column function to a list of inputs, in order."""
-    from pyspark.sql import functions as F
-
     rows = [(i, *(value if isinstance(value, tuple) else (value,))) for i, value in enumerate(inputs)]
     df = spark.createDataFrame(rows, schema or f"i int, {column} string")
     return [r.out for r in df.select("i", expression.alias("out")).orderBy("i").collect()]

@@ -1,7 +1,6 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from broadsheet.operators import sampling as S
 from broadsheet.plans.cleaning import clean_frame
