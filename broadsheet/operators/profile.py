@@ -43,12 +43,24 @@ def class_distribution(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return both.groupBy("dataset", "class").agg(F.count(F.lit(1)).alias("count"))
 
 
+MAX_MAP_KEYS = 10_000
+
+
 def count_map(df: DataFrame, column: str) -> DataFrame:
-    """One row: ``MAP<STRING,BIGINT>`` of value counts, for columns with few values."""
-    counted = value_counts(df, column).select(
-        F.struct(F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("key"), F.col("count").alias("value")).alias("e")
+    """One row: ``MAP<STRING,BIGINT>`` of value counts, for columns with few values.
+
+    A column with more than ``MAX_MAP_KEYS`` values is an error, found before more
+    than that many entries are gathered; ``value_counts`` has no such bound.
+    """
+    key = F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("key")
+    entries = value_counts(df, column).select(F.struct(key, F.col("count").alias("value")).alias("e"))
+    gathered = entries.limit(MAX_MAP_KEYS + 1).agg(F.collect_list("e").alias("es"))
+    too_many = F.raise_error(F.lit(f"more than {MAX_MAP_KEYS} values in {column!r}"))
+    return gathered.select(
+        F.when(F.size("es") > MAX_MAP_KEYS, too_many)
+        .otherwise(F.map_from_entries(F.sort_array("es")))
+        .alias(f"{column}_counts")
     )
-    return counted.agg(F.map_from_entries(F.sort_array(F.collect_list("e"))).alias(f"{column}_counts"))
 
 
 def dataset_profile(urls: DataFrame, raw: DataFrame, clean: DataFrame, rules=SITE_RULES) -> DataFrame:
@@ -94,7 +106,7 @@ def dataset_profile(urls: DataFrame, raw: DataFrame, clean: DataFrame, rules=SIT
         (F.col("raw.rows") - F.col("clean.rows")).alias("removed_from_raw_to_clean"),
         F.col("raw.valid").alias("valid_rows_before_dedup"),
         F.col("clean.rows").alias("rows_after_dedup"),
-        (F.col("raw.valid") - F.col("clean.rows")).alias("removed_duplicates"),
+        (F.col("raw.valid") - F.col("clean.rows")).alias("removed_duplicates_headline_label"),
         F.col("clean.empty").alias("clean_empty_headline"),
         F.col("clean.unlabelled").alias("clean_missing_label"),
         F.col("clean.duplicates").alias("clean_dup_headline_label"),

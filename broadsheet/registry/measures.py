@@ -62,7 +62,7 @@ def _raw_and_clean(spark, sf):
 SELECT 2 * (SELECT count(*) FROM pages) AS input_url_rows, count(*) AS raw_rows, count(*) FILTER (WHERE success) AS raw_success,
   count(*) FILTER (WHERE NOT success) AS raw_fail, any_value(n) AS clean_rows, count(*) - any_value(n) AS removed_from_raw_to_clean,
   count(*) FILTER (WHERE success AND label IS NOT NULL AND headline <> '') AS valid_rows_before_dedup, any_value(n) AS rows_after_dedup,
-  count(*) FILTER (WHERE success AND label IS NOT NULL AND headline <> '') - any_value(n) AS removed_duplicates,
+  count(*) FILTER (WHERE success AND label IS NOT NULL AND headline <> '') - any_value(n) AS removed_duplicates_headline_label,
   any_value(empty) AS clean_empty_headline, any_value(unlabelled) AS clean_missing_label, any_value(dup) AS clean_dup_headline_label,
   any_value(mismatch) AS source_label_mismatch_clean
 FROM repeated, c""",

@@ -73,4 +73,6 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
 def test_profile_maps_and_weights(spark):
     df = spark.createDataFrame([("a", 0), ("a", 0), (None, 1)], "m string, label int")
     assert P.count_map(df, "m").first()["m_counts"] == {"a": 2, "null": 1}
+    with pytest.raises(Exception, match="more than"):
+        P.count_map(spark.range(P.MAX_MAP_KEYS + 1), "id").collect()
     assert {r.label: r.weight for r in P.class_weights(df).collect()} == {0: 0.75, 1: 1.5}
