@@ -54,11 +54,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
     ), sizes AS (
         SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
-    ), overlaps AS (
+    ), common AS (
         SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
         FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
     ), links AS (
-        SELECT a, b FROM overlaps JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
         WHERE 100 * o >= 75 * (x.n + y.n - o)
     ), reach AS (
         SELECT doc_id, doc_id AS seen FROM documents
