@@ -193,12 +193,13 @@ def _checked(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, small: int | None = None
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per input row.
+    """``(doc_id, n_shingles, component_id, kept, body)``, one row per input row.
 
     ``component_id`` is the smallest ``doc_id`` reachable by links, the row's own included;
     null ids count only if a component has no other. A text with fewer than ``words`` words
     is one n-gram; null or empty texts, and those of white space, have none and link with
-    nothing. Repeated rows have equal sets and link. An empty table gives an empty table.
+    nothing. Repeated rows have equal sets and link. One row of each component is ``kept``, one
+    with its smallest id; ``body`` is ``xxhash64`` of the text. An empty table gives an empty table.
     """
     small = boundary(threshold) if small is None else small
     num, den = threshold
@@ -290,13 +291,19 @@ def near_duplicates(
         labels = shared_table(components(edges), "labels")
 
     placed = shared_table(
-        base.select("row", "doc_id", "n", "set1", "set2")
+        base.select("row", "doc_id", "body", "n", "set1", "set2")
         .join(classes, ["set1", "set2"], "left")
-        .select("row", "doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("row")).alias("node")),
+        .withColumn("node", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("row"))),
         "placed",
     )
-    placed = shared_table(
-        placed.join(labels, "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label")), "labelled"
+    placed = placed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = shared_table(placed.select("row", "doc_id", "body", "n", "label"), "labelled")
+    first_id = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    smallest = shared_table(placed.groupBy("label").agg(first_id.alias("least")), "component_ids")
+    return placed.join(smallest, "label").select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_shingles"),
+        F.col("least.doc_id").alias("component_id"),
+        (F.col("row") == F.col("least.row")).alias("kept"),
+        "body",
     )
-    smallest = shared_table(placed.groupBy("label").agg(F.min("doc_id").alias("component_id")), "component_ids")
-    return placed.join(smallest, "label").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

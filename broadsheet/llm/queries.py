@@ -4,8 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from broadsheet.llm.decontaminate import (
+    LITERALS,
+    NAME_PATTERN,
+    NUMBER_PATTERN,
+    POINT_PATTERN,
+    UNIT_PATTERN,
+    WINDOW,
+    WORD_PATTERN,
+    template_matches,
+)
 from broadsheet.llm.exact_dedup import exact_duplicates
+from broadsheet.llm.language_id import identify_held_out
 from broadsheet.llm.ngram_join import near_duplicates
+from broadsheet.llm.packing import pack
 
 QUERIES, SQL = {}, {}
 
@@ -71,4 +83,51 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents")).drop("kept", "body")
+
+
+@_query("op9_ppm_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(_table(spark, sf_dir, "documents"))
+
+
+@_query("op7_min_bin_slack")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+_WORDS_SQL = rf"""
+    regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        translate(coalesce(text, ''), chr(1) || chr(2) || chr(3), '   '),
+        '{NAME_PATTERN}', '\1' || chr(2) || '\2', 'g'),
+        '{UNIT_PATTERN}', '\1 ' || chr(3) || '\2\3', 'g'),
+        '{POINT_PATTERN}', '\1_\2', 'g'),
+        '{NUMBER_PATTERN}', chr(1) || '\0', 'g')), '{WORD_PATTERN}')
+"""
+
+
+@_query(
+    "op3_template_windows",
+    rf"""
+    WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+    b AS (SELECT item_id, w, least(len(w), {WINDOW}) AS size FROM (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark)),
+    sizes AS (SELECT DISTINCT size FROM b WHERE size >= {LITERALS}),
+    dw AS (SELECT doc_id, size, pos, w[pos + 1 : pos + size] AS own
+           FROM (SELECT doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS pos FROM d, sizes WHERE len(w) >= size)),
+    bw AS (SELECT item_id, size, w[pos + 1 : pos + size] AS theirs
+           FROM (SELECT item_id, w, size, unnest(range(0, len(w) - size + 1)) AS pos FROM b WHERE size >= {LITERALS})),
+    dt AS (SELECT *, list_transform(own, lambda x: CASE WHEN x < chr(4) THEN x[1:1] ELSE x END) AS t,
+                  list_filter(own, lambda x: x < chr(4)) AS s FROM dw),
+    bt AS (SELECT *, list_transform(theirs, lambda x: CASE WHEN x < chr(4) THEN x[1:1] ELSE x END) AS t,
+                  list_filter(theirs, lambda x: x < chr(4)) AS s FROM bw)
+    SELECT doc_id, item_id, count(*) AS n_windows, min(pos) AS first_word,
+           CAST(sum(CAST(dt.s <> bt.s AS BIGINT)) AS BIGINT) AS n_changed
+    FROM dt JOIN bt ON dt.size = bt.size AND dt.t = bt.t
+    WHERE len(bt.s) <= bt.size - {LITERALS}
+      AND list_transform(dt.s, lambda x: list_position(dt.s, x)) = list_transform(bt.s, lambda x: list_position(bt.s, x))
+    GROUP BY doc_id, item_id
+    """.replace("\\", "\"),
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("key1", "key2")
