@@ -126,7 +126,7 @@ _WORDS_SQL = rf"""
     WHERE len(bt.s) <= bt.size - {LITERALS}
       AND list_transform(dt.s, lambda x: list_position(dt.s, x)) = list_transform(bt.s, lambda x: list_position(bt.s, x))
     GROUP BY doc_id, item_id
-    """.replace("\\", "\"),
+    """,
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = template_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
