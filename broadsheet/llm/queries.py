@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from broadsheet.llm.chat import conversations, linear_messages, loss_text, read_turns
+from broadsheet.llm.chunk_dedup import dedup_substrings
 from broadsheet.llm.decontaminate import (
     LITERALS,
     NAME_PATTERN,
@@ -19,6 +20,8 @@ from broadsheet.llm.exact_dedup import exact_duplicates
 from broadsheet.llm.language_id import identify_held_out
 from broadsheet.llm.ngram_join import near_duplicates
 from broadsheet.llm.packing import pack
+from broadsheet.llm.render import rendered_pages
+from broadsheet.llm.suffix_dedup import remove_repeats
 from broadsheet.llm.toxicity import score_held_out
 
 QUERIES, SQL = {}, {}
@@ -183,3 +186,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_nearest_toxic")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_held_out(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op1_suffix_buckets")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@_query("op2_gear_chunks")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@_query("op4_layout_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered_pages(_table(spark, sf_dir, "pages"))
