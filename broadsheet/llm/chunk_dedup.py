@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from broadsheet.llm.common import row_key, shared_table, text_of
+from broadsheet.llm.common import release, row_key, shared_table, text_of
 from broadsheet.llm.spans import without
 
 # A chunk ends after each byte with a probability of 1 in 2 ** BITS, but not before MIN_CHUNK bytes.
@@ -116,9 +116,10 @@ def repeated_spans(
     equal in id and text, count as one document.
     """
     all_chunks = shared_table(chunks(docs, bits, least, most), "chunks")
-    common = all_chunks.groupBy("digest1").agg(F.count("*").alias("n")).filter("n > 1").select("digest1")
-    common = all_chunks.join(shared_table(common, "common_digests"), "digest1", "left_semi")
-    common = shared_table(common, "common_chunks")
+    twice = all_chunks.groupBy("digest1").agg(F.count("*").alias("n")).filter("n > 1").select("digest1")
+    twice = shared_table(twice, "common_digests")
+    common = shared_table(all_chunks.join(twice, "digest1", "left_semi"), "common_chunks")
+    release(all_chunks, twice)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start", "key1", "key2")
     firsts = common.groupBy("digest1", "digest2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     firsts = shared_table(firsts.filter("n > 1"), "first_chunks")
@@ -126,6 +127,7 @@ def repeated_spans(
         "not (first.key1 = key1 and first.key2 = key2 and first.start = start)"
     )
     copies = shared_table(copies.select("key1", "key2", "start", "end").distinct(), "chunk_copies")
+    release(common, firsts)
     order = Window.partitionBy("key1", "key2").orderBy("start")
     begins = (F.col("start") != F.coalesce(F.lag("end").over(order), F.lit(-1))).cast("int")
     runs = copies.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from broadsheet.session import working_dir
 
+# Where the tables written by ``shared_table`` are.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -36,9 +39,23 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{working_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with _shuffle_files_dropped(spark):
         df.write.option("compression", "zstd").parquet(path)
+    files, target = _located(spark, path)
+    files.deleteOnExit(target)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove shared tables that nothing will read again."""
+    for table in tables:
+        files, target = _located(table.sparkSession, _PATHS.pop(table))
+        files.delete(target, True)
+
+
+def _located(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def text_of(column: str = "text") -> Column:
@@ -90,7 +107,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .filter("u != v")
             .distinct()
         )
-        pairs = shared_table(settled, "edges")
+        before, pairs = pairs, shared_table(settled, "edges")
+        release(before)
         state = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if state == last:
             break

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from broadsheet.llm.common import components, shared_table, text_of
+from broadsheet.llm.common import components, release, shared_table, text_of
 
 WORDS = 5
 THRESHOLD = (75, 100)
@@ -172,8 +172,12 @@ def _live(postings: DataFrame, at_least: str) -> DataFrame:
     """Postings whose n-gram another row lists too, of rows that have enough of them."""
     lists = shared_table(postings.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1"), "lists")
     shared = shared_table(postings.join(lists, "tok"), "listed")
+    release(lists)
     enough = shared.groupBy("row", "n").agg(F.count("*").alias("live")).filter(f"live >= {at_least}")
-    return shared.join(shared_table(enough.select("row", "live"), "enough"), "row")
+    enough = shared_table(enough.select("row", "live"), "enough")
+    live = shared_table(shared.join(enough, "row"), "live")
+    release(shared, enough)
+    return live
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
@@ -205,7 +209,8 @@ def near_duplicates(
     num, den = threshold
     texts = docs.select("doc_id", text_of().alias("text")).select("*", F.xxhash64("text").alias("body"))
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "body", "text")
-    base = shared_table(_with_sets(numbered, words, threshold, small), "ngram_sets")
+    listing = shared_table(_with_sets(numbered, words, threshold, small), "ngram_sets")
+    base = shared_table(listing.select("row", "doc_id", "body", "n", "set1", "set2"), "set_names")
     classes = shared_table(
         base.filter("n > 0").groupBy("set1", "set2").agg(F.min("row").alias("rep")), "ngram_classes"
     )
@@ -213,7 +218,7 @@ def near_duplicates(
     # small sets: shared subsets
     first = classes.select(F.col("rep").alias("row"))
     subsets = (
-        base.filter(f"n > 0 and n <= {small}")
+        listing.filter(f"n > 0 and n <= {small}")
         .join(first, "row", "left_semi")
         .select("row", F.explode("subsets").alias("s"))
         .select("row", F.shiftright("s", 2).alias("subset"), F.col("s").bitwiseAND(3).alias("side"))
@@ -230,16 +235,19 @@ def near_duplicates(
 
     # large sets: inverted lists, of rows with enough listed n-grams in common with others
     least = f"1 + ceil({num} * n / {den}) div {SLACK}"
-    listed = _live(base.select("row", "n", F.explode("prefix").alias("tok")), least).select("row", "n", "tok")
-    listed = shared_table(listed.join(first, "row", "left_semi"), "listed_sets")
-    listed = _live(listed, least)
+    found = _live(listing.select("row", "n", F.explode("prefix").alias("tok")), least)
+    release(listing)
+    reps = shared_table(found.select("row", "n", "tok").join(first, "row", "left_semi"), "listed_sets")
+    release(found)
+    live = _live(reps, least)
     rare = F.row_number().over(Window.partitionBy("row").orderBy("k", "tok"))
     listed = shared_table(
-        listed.select("row", "n", "tok", "live", rare.alias("rank"))
+        live.select("row", "n", "tok", "live", rare.alias("rank"))
         .filter(f"rank <= live - ({least}) + 1")
         .select("row", "n", "tok"),
         "rare_listed",
     )
+    release(reps, live)
     chosen = listed.select("row").distinct().join(base.select("row", F.col("doc_id").alias("id"), F.col("body").alias("b")), "row")
     sets = (
         texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("b")))
@@ -248,7 +256,7 @@ def near_duplicates(
     )
     sets = shared_table(sets, "whole_sets")
 
-    labels = None
+    labels, before = None, None
     for turn in range(STAR_ROUNDS + 1):
         if labels is None:
             grouped = listed.withColumn("label", F.col("row"))
@@ -266,9 +274,12 @@ def near_duplicates(
         if not size[0]:
             break
         fits = f"n * {den} >= m * {num} and m * {den} >= n * {num}"
-        last = turn == STAR_ROUNDS or (turn > 0 and size[2] <= 4 * size[1])
+        # leaders help as long as the pairs left get fewer
+        few = size[2] <= 4 * size[1] or size[2] > 0.7 * (before or float("inf"))
+        last = turn == STAR_ROUNDS or (turn > 0 and few)
+        before = size[2]
         if last:  # all that is left: pairs from different components
-            open_rows = shared_table(grouped.join(lists.select("tok"), "tok"), "open_rows")
+            open_rows = grouped.join(lists.select("tok"), "tok")
             mates = open_rows.select("tok", F.col("row").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"))
             pairs = open_rows.join(mates, "tok").filter(f"row < b and label != label_b and {fits}")
         else:
@@ -279,6 +290,7 @@ def near_duplicates(
             )
         pairs = shared_table(pairs.select(F.col("row").alias("a"), "b").distinct(), "meeting")
         found = shared_table(_checked(pairs, sets, threshold), "links")
+        release(lists, pairs)
         edges = edges.unionByName(found)
         if found.isEmpty():
             if last:

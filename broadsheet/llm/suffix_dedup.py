@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from broadsheet.llm.common import row_key, shared_table, text_of
+from broadsheet.llm.common import release, row_key, shared_table, text_of
 from broadsheet.llm.spans import without
 
 LENGTH = 200
@@ -201,7 +201,9 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, parts: tuple[int, ..
     for round_, size in enumerate(parts):
         named = shared_table(named, f"suffix_names_{round_}")
         shared = named.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-        alive = shared_table(named.join(shared_table(shared, "buckets"), "bucket", "left_semi"), "alive")
+        shared = shared_table(shared, "buckets")
+        alive = shared_table(named.join(shared, "bucket", "left_semi"), "alive")
+        release(named, shared)
         member = F.struct("key1", "key2", "pos")
         groups = alive.groupBy("bucket", "name1", "name2").agg(F.count("*").alias("n"), F.min(member).alias("first"))
         groups = shared_table(groups, "names")
@@ -223,6 +225,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, parts: tuple[int, ..
             contexts = shared_table(_contexts(texts, firsts, length, parts[0]), "contexts")
         open_ = contexts.join(firsts.select("key1", "key2", "pos", "low"), ["key1", "key2", "pos"])
         named = _next_round(open_, length, parts[round_ + 1], size)
+        release(alive, groups)
     raise AssertionError("the last part has one window")
 
 
