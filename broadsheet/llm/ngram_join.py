@@ -10,9 +10,10 @@ their overlap is at least c(n, m), the smallest integer that meets the threshold
   ``_shared`` n-grams of it. That gives three filters which lose no link: sets with too few
   listed n-grams found elsewhere leave; a set's most frequent listed n-grams leave
   (common lines and passages are in no list then); sizes must fit.
-* Within a list, members meet a leader first. What is linked then shares a component, and
-  only pairs from different components still meet, so large groups of near copies cost one
-  comparison a member and list, and a frequent n-gram costs nothing.
+* Within a list, members meet a few leaders first (among them, in the first turn, the one whose n-grams are in
+  the longest lists: the text that the others are copies of). What is linked then shares a component, and
+  only pairs from different components still meet, if they meet often enough, so large groups of near copies cost a
+  few comparisons a member, and a frequent n-gram costs nothing.
 * Every pair that meets is checked on the whole sets.
 
 The boundary is where enumerating subsets gets dearer than listing and checking.
@@ -38,6 +39,7 @@ CHECK_COST = 4
 # Listed beyond the least prefix: one n-gram in so many.
 SLACK = 20
 STAR_ROUNDS = 6
+LEADERS = 6
 
 
 def needed(n: int, m: int, threshold: tuple[int, int] = THRESHOLD) -> int:
@@ -168,6 +170,21 @@ def _whole_sets(words: int):
     return run
 
 
+def _shared(num: int, den: int) -> str:
+    """SQL for the least number of n-grams that linked sets of ``n`` and ``m`` share in the lists:
+    those their prefixes must share, less those that either left out as frequent."""
+
+    def listed(size: str) -> str:
+        return f"least({size}, {size} - ceil({num} * {size} / {den}) + 1 + {size} div {SLACK})"
+
+    def dropped(size: str) -> str:
+        return f"ceil({num} * {size} / {den}) div {SLACK}"
+
+    overlap = f"ceil({num} * (n + m) / {num + den})"
+    both = f"least({overlap} - n + {listed('n')}, {overlap} - m + {listed('m')})"
+    return f"greatest(1, {both} - {dropped('n')} - {dropped('m')})"
+
+
 def _live(postings: DataFrame, at_least: str) -> DataFrame:
     """Postings whose n-gram another row lists too, of rows that have enough of them."""
     lists = shared_table(postings.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1"), "lists")
@@ -240,11 +257,13 @@ def near_duplicates(
     reps = shared_table(found.select("row", "n", "tok").join(first, "row", "left_semi"), "listed_sets")
     release(found)
     live = _live(reps, least)
-    rare = F.row_number().over(Window.partitionBy("row").orderBy("k", "tok"))
+    own = Window.partitionBy("row")
+    rare = F.row_number().over(own.orderBy("k", "tok"))
+    # the text that others are copies of has its n-grams in the longest lists
     listed = shared_table(
-        live.select("row", "n", "tok", "live", rare.alias("rank"))
+        live.select("row", "n", "tok", "live", rare.alias("rank"), F.avg("k").over(own).alias("central"))
         .filter(f"rank <= live - ({least}) + 1")
-        .select("row", "n", "tok"),
+        .select("row", "n", "tok", "central"),
         "rare_listed",
     )
     release(reps, live)
@@ -263,11 +282,12 @@ def near_duplicates(
         else:
             grouped = listed.join(labels.withColumnRenamed("node", "row"), "row", "left")
             grouped = grouped.withColumn("label", F.coalesce("label", "row"))
+        draws = [F.xxhash64(F.lit(turn * LEADERS + i), "row").cast("double") for i in range(LEADERS)]
+        if turn == 0:
+            draws[0] = -F.col("central")
+        heads = [F.min(F.struct(draw.alias("draw"), "row", "n", "label")) for draw in draws]
         lists = grouped.groupBy("tok").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.count("*").alias("k"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "row").alias("draw"), "row", "n", "label")).alias("head"),
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("k"), F.array(*heads).alias("heads")
         )
         lists = shared_table(lists.filter("low != high"), "open_lists")
         size = lists.agg(F.count("*"), F.sum("k"), F.sum(F.col("k") * F.col("k"))).first()
@@ -282,9 +302,11 @@ def near_duplicates(
             open_rows = grouped.join(lists.select("tok"), "tok")
             mates = open_rows.select("tok", F.col("row").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"))
             pairs = open_rows.join(mates, "tok").filter(f"row < b and label != label_b and {fits}")
+            pairs = pairs.groupBy("row", "n", "b", "m").agg(F.count("*").alias("met")).filter(f"met >= {_shared(num, den)}")
         else:
             pairs = (
-                grouped.join(lists.select("tok", "head"), "tok")
+                grouped.join(lists.select("tok", F.array_distinct("heads").alias("heads")), "tok")
+                .select("row", "n", "label", F.explode("heads").alias("head"))
                 .select("row", "n", "label", F.col("head.row").alias("b"), F.col("head.n").alias("m"), F.col("head.label").alias("label_b"))
                 .filter(f"row != b and label != label_b and {fits}")
             )
