@@ -104,9 +104,9 @@ def template_matches(
             wanted = F.broadcast(wanted)
         found = _windows(words, size, *who).join(wanted, "hash").drop("hash")
         met = found if met is None else met.unionByName(found)
-    met = shared_table(met, "template_windows")
-    # what stands in the slots, read again from the few documents that matched
     place = ["key1", "key2", "item_id", "pos", "item_pos"]
+    met = shared_table(met.dropDuplicates(place), "template_windows")
+    # what stands in the slots, read again from the few documents that matched
     theirs = met.select(*place, F.explode("slots").alias("s")).select(
         *place, (F.col("s.at") - F.col("item_pos") + F.col("pos")).alias("at"), F.col("s.value").alias("theirs")
     )
