@@ -6,7 +6,6 @@ document, so it needs neither vectors nor Python and shuffles two numbers a row.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -128,11 +127,6 @@ def balanced_weight(label: Column, sizes: dict[int, int]) -> Column:
     return F.when(label == 0, total / (2 * sizes[0])).otherwise(total / (2 * sizes[1]))
 
 
-# Every task returns a gradient as long as the vocabulary, so a task needs enough rows
-# to be worth that; only small inputs are affected.
-ROWS_PER_TASK = 20_000
-
-
 def fit_logistic(vectors: DataFrame, sizes: dict[int, int], options: FitOptions) -> LogisticRegressionModel:
     """Minimises ``|w|^2/2 + C * sum(weight * loss)``; the intercept is not penalised.
 
@@ -150,9 +144,11 @@ def fit_logistic(vectors: DataFrame, sizes: dict[int, int], options: FitOptions)
         fitIntercept=True,
         maxIter=options.max_iter,
         tol=options.tol,
+        # gradients are as long as the vocabulary: they meet in stages, not at the driver
+        aggregationDepth=3,
     )
     rows = vectors.select("features", F.col("label").cast("double").alias("target"), weight.alias("weight"))
-    return estimator.fit(rows.coalesce(math.ceil(sum(sizes.values()) / ROWS_PER_TASK)))
+    return estimator.fit(rows)
 
 
 def fit_model(df: DataFrame, key: str, text: str, label: str = "label", options: FitOptions = FitOptions()) -> HeadlineModel:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.config import CONFLICT_SUFFIX
 from broadsheet.functions.binding import digest_number, seeded_digest
+from broadsheet.sources.readers import CorpusError
 
 PREFIX_DIGITS = 3  # 4,096 prefixes per counting pass
 BOUNDARY_ROWS = 200_000  # rows one task may sort to find a boundary
@@ -92,6 +93,8 @@ def fit_stratified_split(df: DataFrame, label: str, key: str, fraction: float =
 
     # per class: digest prefix of the boundary, rows still needed in it, rows it holds
     first = prefix_counts(rows, 0)
+    if None in first:
+        raise CorpusError(f"null in {label!r}: every row of a split needs a class")
     counts = {c: sum(p.values()) for c, p in first.items()}
     quota = allocate_test_rows(counts, fraction) if counts else {}
     open_classes = {c: ("", n, counts[c]) for c, n in quota.items() if n > 0}
@@ -171,7 +174,7 @@ def inject_label_conflicts(df: DataFrame, order: str, fraction: float = 0.5, see
     flipped = (
         sample_with_replacement(df, order, fraction, seed)
         .withColumn("label", (F.lit(1) - F.col("label")).cast("int"))
-        .withColumn("url", F.concat(F.col("url"), F.lit(CONFLICT_SUFFIX), F.col(order).cast("string")))
+        .withColumn("url", F.concat(F.coalesce(F.col("url"), F.lit("")), F.lit(CONFLICT_SUFFIX), F.col(order).cast("string")))
         .withColumn("part", F.lit(1))
     )
     originals = df.withColumn("draw", F.lit(0).cast("bigint")).withColumn("part", F.lit(0))

@@ -46,17 +46,13 @@ def predict(spark, sf):
     return model.score(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
-def _pages(spark, sf):
-    return experiment_corpus(spark, sf).filter(F.col("url").isNotNull())
-
-
 @query("run_one_eval")
 def run_one_eval(spark, sf):
-    data = experiments.experiment_data(_pages(spark, sf))
+    data = experiments.experiment_data(experiment_corpus(spark, sf))
     scenario = experiments.SCENARIOS[6]
     return experiments.run_one_eval(scenario, data.train[scenario.train], data.test)
 
 
 @query("scenario_grid")
 def scenario_grid(spark, sf):
-    return experiments.run_grid(experiments.experiment_data(_pages(spark, sf)))
+    return experiments.run_grid(experiments.experiment_data(experiment_corpus(spark, sf)))

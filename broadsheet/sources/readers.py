@@ -28,14 +28,17 @@ class Roles:
     url: str | None
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None, form: str | None = None) -> DataFrame:
-    """Read CSV (with header), JSON, ORC or Parquet; the form defaults to the suffix."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None, form: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Read CSV (with header), JSON, ORC or Parquet; the form defaults to the suffix.
+
+    ``multi_line`` allows line breaks inside quoted CSV fields; without it large files are split
+    among tasks.
+    """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     form = form or (suffix if suffix in ("csv", "json", "orc", "parquet") else "parquet")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if form == "csv":
-        # quoted headlines may hold line breaks and doubled quotes
-        reader = reader.options(header=True, multiLine=True, escape='"')
+        reader = reader.options(header=True, multiLine=multi_line, escape='"')
     return reader.format(form).load(path)
 
 

@@ -83,3 +83,17 @@ def test_conflicts_are_injected_and_cleaned_away(spark):
     assert clean_frame(stressed, False, S.CONFLICT_ORDER).count() == 15
     strict = clean_frame(stressed, True, S.CONFLICT_ORDER)
     assert sorted((r.ord, r.label) for r in strict.collect()) == [(i, i % 2) for i in range(10)]
+
+
+def test_split_refuses_rows_without_a_class(spark):
+    from broadsheet.sources.readers import CorpusError
+
+    df = spark.range(60).selectExpr("id", "case when id % 7 > 0 then cast(id % 2 as int) end as label")
+    with pytest.raises(CorpusError):
+        S.fit_stratified_split(df, "label", "id")
+
+
+def test_conflicts_without_a_url_get_one_of_their_own(spark):
+    df = spark.range(40).selectExpr("id as ord", "cast(null as string) as url", "'h' as headline", "cast(id % 2 as int) as label")
+    added = S.inject_label_conflicts(df, "ord").filter("part = 1")
+    assert added.count() == 20 and added.filter("url is null").count() == 0
