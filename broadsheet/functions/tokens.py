@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import cache, reduce
+from functools import cache
 
 from pyspark.sql import Column, functions as F
 
@@ -11,8 +11,9 @@ from broadsheet.functions.binding import let
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
-# Letters that decompose into several; the rule below handles all single ones.
-_MULTI_RANGES = ((0x80, 0x250), (0xFB00, 0xFB07))
+# Hangul syllables decompose by rule: lead, vowel and, unless the number is 0, tail.
+_SYLLABLES, _VOWELS, _TAILS = 0xAC00, 21, 28
+_SYLLABLE_END = _SYLLABLES + 19 * _VOWELS * _TAILS
 
 
 def _folded(character: str) -> str:
@@ -24,7 +25,7 @@ def _folded(character: str) -> str:
 def fold_tables() -> tuple[str, str, dict[str, str]]:
     """Single-character folds as two parallel strings, marks to delete, and expansions."""
     source, target, deleted, expanded = [], [], [], {}
-    for code in (*range(0x80, 0xD800), *range(0xE000, 0x10000)):
+    for code in (*range(0x80, _SYLLABLES), *range(_SYLLABLE_END, 0xD800), *range(0xE000, 0x110000)):
         c = chr(code)
         f = _folded(c)
         if f == c:
@@ -34,23 +35,41 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
             target.append(f)
         elif not f:
             deleted.append(c)
-        elif any(low <= code < high for low, high in _MULTI_RANGES):
+        elif any(x.isalnum() or x == "_" for x in c + f):  # others end a word either way
             expanded[c] = f
     return "".join(source + deleted), "".join(target), expanded
 
 
 def fold_accents(text: Column) -> Column:
-    """Letters without their accents, compatibility forms made plain."""
+    """Letters without their accents, compatibility forms made plain, over all of Unicode.
+
+    Most characters fold to one or none, by a translation. Texts with one that becomes several
+    are walked character by character.
+    """
     source, target, expanded = fold_tables()
-    lower_only = {c: f for c, f in expanded.items() if c == c.lower()}
+    first, last = chr(_SYLLABLES), chr(_SYLLABLE_END - 1)
+    several = "[" + "".join(expanded) + f"{first}-{last}]"
+    plain = F.split(F.lit("\x1f".join(expanded.values())), "\x1f")
+
+    def jamo(start: int, number: Column) -> Column:
+        return F.substr(F.lit("".join(map(chr, range(start, start + _TAILS)))), number.cast("int"), F.lit(1))
+
+    def expand(c: Column) -> Column:
+        n = F.ascii(c) - _SYLLABLES
+        tail = F.when(n % _TAILS > 0, jamo(0x11A8, n % _TAILS)).otherwise("")
+        syllable = F.concat(
+            jamo(0x1100, F.floor(n / (_VOWELS * _TAILS)) + 1), jamo(0x1161, F.floor(n / _TAILS) % _VOWELS + 1), tail
+        )
+        listed = F.get(plain, F.position(c, F.lit("".join(expanded))) - 1)
+        return F.when((c >= first) & (c <= last), syllable).otherwise(listed)
 
     def fold(value: Column) -> Column:
         single = F.translate(value, source, target)
-        replaced = reduce(lambda v, e: F.replace(v, F.lit(e[0]), F.lit(e[1])), lower_only.items(), single)
+        walked = F.transform(F.split(single, ""), lambda c: F.when(c.rlike(several), expand(c)).otherwise(c))
         return (
             # as many bytes as characters: plain ASCII, nothing to fold
             F.when(F.octet_length(value) == F.length(value), value)
-            .when(value.rlike("[" + "".join(lower_only) + "]"), replaced)
+            .when(value.rlike(several), F.array_join(walked, ""))
             .otherwise(single)
         )
 

@@ -21,6 +21,7 @@ from broadsheet.operators.features import (
     tfidf_vectors,
     lookup_side,
 )
+from broadsheet.session import materialise
 from broadsheet.sources.readers import CorpusError
 from broadsheet.sources.writers import read_metadata, write_metadata
 
@@ -152,10 +153,10 @@ def fit_logistic(vectors: DataFrame, sizes: dict[int, int], options: FitOptions)
 
 
 def fit_model(df: DataFrame, key: str, text: str, label: str = "label", options: FitOptions = FitOptions()) -> HeadlineModel:
-    """Vocabulary, vectors and classifier of the given rows."""
-    sizes = class_sizes(df, label)
-    tfidf: TfidfModel = fit_tfidf(df, text, options.tfidf)
-    rows = df.withColumn("label", F.col(label))
+    """Vocabulary, vectors and classifier of the given rows, which are computed once."""
+    rows = materialise(df.select(key, text, F.col(label).alias("label")), "training_rows")
+    sizes = class_sizes(rows, "label")
+    tfidf: TfidfModel = fit_tfidf(rows, text, options.tfidf)
     vectors = stored_vectors(
         tfidf_vectors(rows, key, text, tfidf.vocabulary, tfidf.size, options.tfidf, ("label",)), "vectors"
     )

@@ -67,7 +67,7 @@ def clean_resolved(
     if dedup_urls:
         out = keep_first(out, url_key(F.col("url")), *order)
     if dedup_headlines:
-        out = keep_first(out, dedup_key(F.col("headline")), *order)
+        out = keep_first(out, text_digest(dedup_key(F.col("headline"))), *order)
     return out
 
 
@@ -178,7 +178,7 @@ def clean_frame(df: DataFrame, strict: bool, order: tuple[str, ...] = ("ord",))
         return out
     out = out.filter((F.length("headline") >= 8) & has_alphanumeric(F.col("headline")))
     out = keep_first(out, url_key(F.col("url")), *order)
-    return keep_first(out, dedup_key(F.col("headline")), *order)
+    return keep_first(out, text_digest(dedup_key(F.col("headline"))), *order)
 
 
 __all__ = [

@@ -46,15 +46,20 @@ def working_dir(spark: SparkSession) -> str:
     return fresh
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Use every core on a scan with fewer splits than there are cores.
+    """Use every core on a small table that is one row group, hence one task.
 
-    Text work is bound by the processor, and a file with one row group is one task.
-    On tables large enough to matter there are more splits than cores, and this
-    returns the scan as it is. Call it on scans only.
+    Text work is bound by the processor. Only tables of at most ``SPREAD_BYTES`` are
+    moved; a larger one is read as it is split, however many cores there are. The
+    rows are the same either way. Call it on scans only.
     """
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    small = size <= SPREAD_BYTES and scan.rdd.getNumPartitions() < cores
+    return scan.repartition(cores) if small else scan
 
 
 def materialise(df: DataFrame, name: str, read_schema: StructType | None = None) -> DataFrame:

@@ -28,11 +28,11 @@ class Roles:
     url: str | None
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None, form: str | None = None, multi_line: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None, form: str | None = None, multi_line: bool = False) -> DataFrame:
     """Read CSV (with header), JSON, ORC or Parquet; the form defaults to the suffix.
 
-    ``multi_line`` allows line breaks inside quoted CSV fields; without it large files are split
-    among tasks.
+    ``multi_line`` allows line breaks inside quoted CSV fields; such a file is one task, while
+    others are split among tasks.
     """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     form = form or (suffix if suffix in ("csv", "json", "orc", "parquet") else "parquet")
@@ -66,11 +66,13 @@ def with_roles(df: DataFrame, order: str, require_text: bool = False) -> DataFra
         # backticks keep names with dots whole
         return F.lit(None).cast("string") if name is None else F.col(f"`{name}`").cast("string")
 
+    # a null URL gives way to the column of exactly this name
+    second = role("url" if "url" in df.columns else None)
     return df.select(
         F.col(order).alias("ord"),
         role(roles.text).alias("raw_text"),
         role(roles.label).alias("raw_label"),
-        F.coalesce(strip(role(roles.url)), F.lit("")).alias("url"),
+        F.coalesce(strip(F.coalesce(role(roles.url), second)), F.lit("")).alias("url"),
     )
 
 

@@ -14,6 +14,7 @@ V = F.col("v")
 TEXTS = [
     "Café CAFÉ naïve a I x1 Œuvre", "ĳsland ﬁne ½ cup", "one", "", "a b c", "under_score 2024-05",
     "ÀÉÎõü ß ſtraße", "two two two words words", "Ａｆｕｌｌ ｗｉｄｔｈ", "İstanbul", "日本語 テキスト", "zero width",
+    "𝐇ello ①② ㎏ 한국어 ¼half", "각힣 가나 ㍿ab wait… ﬃx", "𝟙𝟚𝟛 𝒜𝒷 🄰🄱 x",
 ]
 
 

@@ -40,7 +40,7 @@ def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     rows = [("https://h/a", "S", 0, 'He said "no",\nthen left'), ("https://h/b", "S", 1, "plain")]
     df = spark.createDataFrame(rows, schemas.CLEAN_CORPUS)
     W.write_clean(df.withColumn("extra", F.lit(1)), path, "csv")
-    back = R.read_table(spark, path, schemas.CLEAN_CORPUS, "csv")
+    back = R.read_table(spark, path, schemas.CLEAN_CORPUS, "csv", multi_line=True)
     assert sorted(map(tuple, back.collect())) == sorted(rows)
 
 
@@ -76,3 +76,12 @@ def test_profile_maps_and_weights(spark):
     with pytest.raises(Exception, match="more than"):
         P.count_map(spark.range(P.MAX_MAP_KEYS + 1), "id").collect()
     assert {r.label: r.weight for r in P.class_weights(df).collect()} == {0: 0.75, 1: 1.5}
+
+
+def test_null_url_gives_way_to_the_column_named_url(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = spark.createDataFrame([(1, " u1 ", None), (2, "u2", "U2"), (3, None, None)], "id long, url string, URL string")
+        assert [r.url for r in R.with_roles(df, "id").orderBy("ord").collect()] == ["u1", "U2", ""]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
