@@ -5,16 +5,20 @@ their overlap is at least c(n, m), the smallest integer that meets the threshold
 
 * Small sets enumerate all their subsets of the fixed size c(n, m), once for each size m a
   partner can have. Two small sets link exactly if they share such a subset.
-* Large sets go through inverted lists over a prefix of their n-grams in the order of a hash.
+* Large sets go through inverted lists over a prefix of their n-grams, the rarest first, so that
+  common lines and passages stand in few lists. Any one order of all n-grams loses no link; this one goes by the
+  counts of all documents in a table of ``CELLS`` cells (n-grams that share a cell share a count), then by hash.
   The prefix is longer than need be, so that linked sets share not one but at least
   ``_shared`` n-grams of it. That gives three filters which lose no link: sets with too few
   listed n-grams found elsewhere leave; a set's most frequent listed n-grams leave
-  (common lines and passages are in no list then); sizes must fit.
+  (what is still common leaves its lists then); sizes must fit.
 * Within a list, members meet a few leaders first (among them, in the first turn, the one whose n-grams are in
   the longest lists: the text that the others are copies of). What is linked then shares a component, and
   only pairs from different components still meet, if they meet often enough, so large groups of near copies cost a
   few comparisons a member, and a frequent n-gram costs nothing.
-* Every pair that meets is checked on the whole sets.
+* A set's signature has one bit for each residue of its hashes, telling whether an odd number of n-grams has it.
+  Signatures differ in no more bits than the sets differ in n-grams, so pairs whose signatures differ in too many
+  are no links and leave before they are made; every other pair is checked on the whole sets.
 
 The boundary is where enumerating subsets gets dearer than listing and checking.
 """
@@ -40,6 +44,10 @@ CHECK_COST = 4
 SLACK = 20
 STAR_ROUNDS = 6
 LEADERS = 6
+# Cells of the table of counts, at any input size: 8 MB in the driver and each worker.
+CELLS = 1 << 20
+# 64-bit words of a signature.
+SIGNATURE = 16
 
 
 def needed(n: int, m: int, threshold: tuple[int, int] = THRESHOLD) -> int:
@@ -75,6 +83,8 @@ def boundary(threshold=THRESHOLD, check_cost: int = CHECK_COST) -> int:
 
 
 _UPPER_TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# Odd multipliers of the sequence hash, fixed so that all workers agree.
+_STEP, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
@@ -82,17 +92,46 @@ def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
     tokens = text.encode().translate(_UPPER_TO_LOWER).split()
     if not tokens:
         return np.empty(0, np.int64)
-    line = b" ".join(tokens)
-    digest = xxhash.xxh3_64_intdigest
-    if len(tokens) <= words:
-        return np.array([digest(line)], np.uint64).view(np.int64)
-    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32).tolist()
-    starts = [0, *(g + 1 for g in gaps)]
-    ends = [*gaps, len(line)]
-    found = np.fromiter(
-        (digest(line[a:b]) for a, b in zip(starts, ends[words - 1 :], strict=False)), np.uint64, len(ends) - words + 1
-    )
-    return np.unique(found).view(np.int64)
+    size = min(words, len(tokens))
+    single = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+    count = len(tokens) - size + 1
+    found = np.full(count, size, np.uint64)
+    for i in range(size):
+        found ^= found >> np.uint64(29)
+        found = found * _STEP + single[i : i + count]
+    for _ in range(2):
+        found ^= found >> np.uint64(32)
+        found = found * _LAST
+    found ^= found >> np.uint64(29)
+    return np.unique(found.view(np.int64))
+
+
+def _cells(values: np.ndarray) -> np.ndarray:
+    return values & (CELLS - 1)
+
+
+def _document_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """For each cell, how often the documents of ``texts(text)`` have an n-gram of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                np.add.at(total, _cells(shingle_hashes(text.as_py(), words)), 1)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "k"])
+
+    counted = texts.mapInArrow(run, "cell int, k long").groupBy("cell").agg(F.sum("k").alias("k")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[counted.column("cell").to_numpy()] = counted.column("k").to_numpy()
+    return counts
+
+
+def signature(values: np.ndarray) -> np.ndarray:
+    """``SIGNATURE`` words: bit ``b`` tells whether an odd number of hashes is ``b`` modulo their bits."""
+    bits = (values >> 40) & (64 * SIGNATURE - 1)
+    odd = np.bincount(bits, minlength=64 * SIGNATURE).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def _subset_keys(values: np.ndarray, threshold, limit: int) -> list[int]:
@@ -117,11 +156,13 @@ _FOUND = [
     ("set2", pa.int64(), T.LongType()),
     ("prefix", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
     ("subsets", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
+    ("bits", pa.list_(pa.int64()), T.ArrayType(T.LongType())),
 ]
 
 
 def _with_sets(texts: DataFrame, words: int, threshold, small: int) -> DataFrame:
-    """Replaces ``text`` by the size of its set, a name of the set, its prefix and its subsets."""
+    """Replaces ``text`` by the size of its set, a name of the set, its prefix, its subsets and its signature."""
+    counts = texts.sparkSession.sparkContext.broadcast(_document_counts(texts.select("text"), words))
     kept = [c for c in texts.columns if c != "text"]
 
     def described(text: str):
@@ -129,12 +170,14 @@ def _with_sets(texts: DataFrame, words: int, threshold, small: int) -> DataFrame
         n = len(values)
         one, two = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), np.int64).tolist()
         listed = n > small or threshold[0] * (small + 1) <= threshold[1] * n
+        rarest = np.lexsort((values, counts.value[_cells(values)])) if listed else []
         return (
             n,
             one,
             two,
-            values[: prefix_size(n, threshold)] if listed else values[:0],
+            values[rarest[: prefix_size(n, threshold)]] if listed else values[:0],
             _subset_keys(values, threshold, small) if 0 < n <= small else [],
+            signature(values) if listed else values[:0],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,18 +240,35 @@ def _live(postings: DataFrame, at_least: str) -> DataFrame:
     return live
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
-    """The pairs ``(a, b)`` that link, compared on whole sets."""
+def _close(n: str, m: str, bits: str, others: str, threshold) -> str:
+    """SQL that holds for all linked sets: how far their signatures may differ."""
+    num, den = threshold
+    differ = " + ".join(f"bit_count({bits}[{i}] ^ {others}[{i}])" for i in range(SIGNATURE))
+    return f"{differ} <= {n} + {m} - 2 * ceil({num} * ({n} + {m}) / {num + den})"
+
+
+def _checked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, threshold) -> DataFrame:
+    """The pairs ``(a, b)`` that link, compared by signature, then on whole sets."""
     num, den = threshold
+    near = (
+        pairs.join(signatures.toDF("a", "n_a", "bits_a"), "a")
+        .join(signatures.toDF("b", "n_b", "bits_b"), "b")
+        .filter(_close("n_a", "n_b", "bits_a", "bits_b", threshold))
+        .select("a", "b")
+    )
+    near = shared_table(near, "near_pairs")
     left = sets.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("members").alias("set_a"))
     right = sets.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("members").alias("set_b"))
     overlap = F.size(F.array_intersect("set_a", "set_b"))
-    return (
-        pairs.join(left, "a")
+    links = (
+        near.join(left, "a")
         .join(right, "b")
         .filter(overlap * (num + den) >= (F.col("n_a") + F.col("n_b")) * num)
         .select("a", "b")
     )
+    links = shared_table(links, "links")
+    release(near)
+    return links
 
 
 def near_duplicates(
@@ -227,7 +287,7 @@ def near_duplicates(
     texts = docs.select("doc_id", text_of().alias("text")).select("*", F.xxhash64("text").alias("body"))
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "body", "text")
     listing = shared_table(_with_sets(numbered, words, threshold, small), "ngram_sets")
-    base = shared_table(listing.select("row", "doc_id", "body", "n", "set1", "set2"), "set_names")
+    base = shared_table(listing.select("row", "doc_id", "body", "n", "set1", "set2", "bits"), "set_names")
     classes = shared_table(
         base.filter("n > 0").groupBy("set1", "set2").agg(F.min("row").alias("rep")), "ngram_classes"
     )
@@ -274,6 +334,7 @@ def near_duplicates(
         .mapInArrow(_whole_sets(words), "row long, n int, members array<long>")
     )
     sets = shared_table(sets, "whole_sets")
+    signatures = shared_table(base.join(listed.select("row").distinct(), "row", "left_semi").select("row", "n", "bits"), "signatures")
 
     labels, before = None, None
     for turn in range(STAR_ROUNDS + 1):
@@ -299,9 +360,12 @@ def near_duplicates(
         last = turn == STAR_ROUNDS or (turn > 0 and few)
         before = size[2]
         if last:  # all that is left: pairs from different components
-            open_rows = grouped.join(lists.select("tok"), "tok")
-            mates = open_rows.select("tok", F.col("row").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"))
-            pairs = open_rows.join(mates, "tok").filter(f"row < b and label != label_b and {fits}")
+            open_rows = grouped.join(lists.select("tok"), "tok").join(signatures.select("row", "bits"), "row")
+            mates = open_rows.select(
+                "tok", F.col("row").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"), F.col("bits").alias("bits_b")
+            )
+            close = _close("n", "m", "bits", "bits_b", threshold)
+            pairs = open_rows.join(mates, "tok").filter(f"row < b and label != label_b and {fits} and {close}")
             pairs = pairs.groupBy("row", "n", "b", "m").agg(F.count("*").alias("met")).filter(f"met >= {_shared(num, den)}")
         else:
             pairs = (
@@ -311,7 +375,7 @@ def near_duplicates(
                 .filter(f"row != b and label != label_b and {fits}")
             )
         pairs = shared_table(pairs.select(F.col("row").alias("a"), "b").distinct(), "meeting")
-        found = shared_table(_checked(pairs, sets, threshold), "links")
+        found = _checked(pairs, signatures, sets, threshold)
         release(lists, pairs)
         edges = edges.unionByName(found)
         if found.isEmpty():

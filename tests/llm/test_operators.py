@@ -13,7 +13,7 @@ from broadsheet.llm.chat import conversations, linear_messages, loss_text, read_
 from broadsheet.llm.common import components
 from broadsheet.llm.decontaminate import template_matches
 from broadsheet.llm.exact_dedup import exact_duplicates, name_documents
-from broadsheet.llm.ngram_join import near_duplicates, shingle_hashes, subset_count
+from broadsheet.llm.ngram_join import near_duplicates, shingle_hashes, signature, subset_count
 from broadsheet.llm.render import render, rendered_pages
 
 SCHEMA = "doc_id long, text string, lang string, keep_id long, score double"
@@ -91,6 +91,15 @@ def test_near_duplicates_equal_brute_force(spark, small):
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, linked(sets), strict=True))}
 
 
+def test_signatures_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(4)
+    for size in (1, 30, 900, 5000):
+        pool = rng.integers(-(2**63), 2**63, size, dtype=np.int64)
+        a, b = (np.unique(pool[rng.random(size) < 0.8]) for _ in range(2))
+        differ = np.bitwise_count((signature(a) ^ signature(b)).view(np.uint64)).sum()
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_near_duplicates_odd_input(odd, nothing):
     rows = near_duplicates(odd).collect()
     assert len(rows) == 10
