@@ -300,3 +300,16 @@ def test_toxic_held_out_documents(spark, sf_dir, nothing):
     right = [r for r in rows if r.predicted == r.toxic]
     assert len(right) > 0.9 * len(rows) and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score_held_out(nothing, labels).count() == 0
+
+
+def test_templates_of_few_literals(spark):
+    texts = ["A car drives 120 km in 2 hours. How far in 5 hours?", "What is 12 + 34 + 56 + 78?", "12 + 34", "Is 5 prime?"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    changed = "A car drives 90 km in 3 hours. How far in 7 hours?"
+    docs = [f"- {t} And more of it." for t in texts] + [changed, "What is 1 + 2 + 3 + 4?"]
+    found = template_matches(documents(spark, [(i, t, None) for i, t in enumerate(docs)]), items)
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
+    for i in range(len(texts)):
+        assert got[i, i].n_windows > 0 and got[i, i].n_changed == 0
+    # other figures are found by the wider window; with too few words of its own an item is found as written only
+    assert got[4, 0].n_changed == got[4, 0].n_windows > 0 and not any(d == 5 for d, _ in got)
