@@ -6,7 +6,8 @@ are hash-joined. What stands in the slots must agree up to renaming: slots that
 the benchmark's window are equal in the document's and the other way round. Column functions only.
 
 A benchmark window of few literal words is widened until it holds enough, to the whole item at most,
-and is also looked up word for word as it is, so that no item is left without a window.
+and is also looked up word for word as it is, so that no item is left without a window. A capital that
+may only begin a sentence is read in two ways, as the word and as a name.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ def _as_written(w: Column) -> Column:
     return F.translate(w, _NAME + _MAYBE, "")
 
 
-_READINGS = {"words": (_as_words, _LITERAL)}
+_READINGS = {"words": (_as_words, _LITERAL), "names": (_as_names, _PLAIN)}
 
 
 def _slots(words: Column, below: str = _PLAIN) -> Column:

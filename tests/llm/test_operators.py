@@ -313,3 +313,12 @@ def test_templates_of_few_literals(spark):
         assert got[i, i].n_windows > 0 and got[i, i].n_changed == 0
     # other figures are found by the wider window; with too few words of its own an item is found as written only
     assert got[4, 0].n_changed == got[4, 0].n_windows > 0 and not any(d == 5 for d, _ in got)
+
+
+def test_template_names_that_begin_sentences(spark):
+    question = "Tom has 5 apples. Anna has 3 pears. Who has more?"
+    items = spark.createDataFrame([(0, question)], "item_id long, text string")
+    other = question.replace("Tom", "Ben").replace("Anna", "Eva").replace("5", "8")
+    docs = [other, f'"{other}"', f"he said Ben has 8 apples. {other[18:]}", question.replace("Anna", "Eva"), "The sky has 2 moons. The sea has none. Who has more?"]
+    got = {r.doc_id: r for r in template_matches(documents(spark, [(i, t, None) for i, t in enumerate(docs)]), items).collect()}
+    assert set(got) == {0, 1, 2, 3} and all(r.n_changed > 0 for r in got.values())
