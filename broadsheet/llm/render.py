@@ -3,7 +3,8 @@
 A tree is built first: end tags that pages leave out are implied, stray ones ignored. Rendering
 walks the tree and writes all text a reader would see: blocks on lines of their own, paragraphs
 and headings apart by a blank line, list items marked and indented, table cells in aligned
-columns. What is not displayed is left out (scripts, styles, ``hidden``, ``display:none``).
+columns. What is not displayed is left out (scripts, styles, ``hidden``, ``display:none``, closed
+dialogs, and what stands in for media: ``object``, ``audio``, ``video``, ``canvas``, ``iframe``).
 """
 
 from __future__ import annotations
@@ -23,9 +24,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 RAW_WITH_ENTITIES = frozenset("title textarea".split())
 UNSEEN = frozenset(
-    "head title script style template noscript iframe noembed noframes object audio video canvas svg math "
-    "datalist select option meta link base param source track textarea dialog rp".split()
+    "head title script style template noscript iframe noembed noframes object audio video canvas "
+    "datalist meta link base param source track rp annotation annotation-xml".split()
 )
+# Not displayed within a drawing; other elements by these names are.
+UNSEEN_IN_SVG = frozenset("desc defs metadata symbol".split())
+FOREIGN = frozenset(("svg", "math"))
+# On lines of their own, though they do not end a paragraph.
+OWN_LINE = frozenset("select option optgroup textarea text".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure table fieldset".split())
 BLOCKS = SPACED | frozenset(
     "address article aside body center dd details dir div dt fieldset figcaption footer form header hgroup html legend "
@@ -53,14 +59,15 @@ P_LIMITS = frozenset("table td th caption button body html".split())
 SCOPES = frozenset("table td th caption html".split())
 HEAD_CONTENT = frozenset("base link meta title style script noscript template".split())
 
+# A quote opens a value straight after "=" only; elsewhere it is a character like others.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+|))*+)>"
     r"|[^<]+|<",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTRIBUTE = re.compile(r"""([^\s>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -80,7 +87,7 @@ class Node:
         return None
 
     def shown(self) -> bool:
-        if self.tag in UNSEEN:
+        if self.tag in UNSEEN or self.tag == "dialog" and self.attribute("open") is None:
             return False
         if not self.attributes:
             return True
@@ -91,8 +98,11 @@ def parse(html: str) -> Node:
     """The page as a tree of nodes and texts."""
     root = Node("#page")
     stack = [root]
+    foreign = 0  # drawings and formulas that are open
 
     def close(index: int) -> None:
+        nonlocal foreign
+        foreign -= sum(n.tag in FOREIGN for n in stack[index:])
         del stack[index:]
 
     at, end = 0, len(html)
@@ -138,14 +148,15 @@ def parse(html: str) -> Node:
                 stack.append(row)
             node = Node(tag, attributes)
             stack[-1].children.append(node)
-            if tag in VOID:
+            if tag in VOID or foreign and attributes.endswith("/"):
                 continue
             if tag in RAW or tag in RAW_WITH_ENTITIES:
                 stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
                 if tag in RAW_WITH_ENTITIES:
                     node.children.append(unescape(html[at : stop.start() if stop else end]))
                 at = stop.end() if stop else end
-            else:  # a slash does not close an HTML element
+            elif not (tag in FOREIGN and attributes.endswith("/")):  # a slash does not close an HTML element
+                foreign += tag in FOREIGN
                 stack.append(node)
         elif not match[0].startswith(("<!", "<?")):
             if stack[-1].tag == "head" and not match[0].isspace():
@@ -225,7 +236,7 @@ def render(html: str) -> str:
     writers = [_Writer()]
     tables: list[list] = []  # rows of the tables being written
     lists: list[list] = []  # [ordered, number]
-    keep = 0
+    keep = drawings = 0
     stack: list[tuple] = [("open", parse(html))]
     while stack:
         step, node = stack.pop()
@@ -234,9 +245,9 @@ def render(html: str) -> str:
             if isinstance(node, str):
                 out.kept(node) if keep else out.text(node)
                 continue
-            if not node.shown():
-                continue
             tag = node.tag
+            if not node.shown() or drawings and tag in UNSEEN_IN_SVG:
+                continue
             if tag == "br":
                 out.end_line(force=True)
                 continue
@@ -249,6 +260,8 @@ def render(html: str) -> str:
                 writers.append(_Writer())
             elif tag in BLOCKS:
                 out.end_line(1 if tag in SPACED and not (lists and tag in ("ul", "ol")) else 0)
+            elif tag in OWN_LINE:
+                out.end_line()
             if tag == "table":
                 tables.append([])
             elif tag == "tr" and tables:
@@ -264,8 +277,13 @@ def render(html: str) -> str:
                 out.indent.append(" " * len(out.marker))
             elif tag in ("dd", "blockquote"):
                 out.indent.append("    " if tag == "dd" else "> ")
-            elif tag == "pre":
+            elif tag in ("pre", "textarea"):
                 keep += 1
+            elif tag == "svg":
+                drawings += 1
+            elif tag == "optgroup":
+                out.text(node.attribute("label") or "")
+                out.end_line()
             elif tag == "q":
                 out.text('"')
             stack += [("open", c) for c in reversed(node.children)]
@@ -284,6 +302,8 @@ def render(html: str) -> str:
             out.line.append('"')
         if tag in BLOCKS:
             out.end_line(1 if tag in SPACED and not (len(lists) > 1 and tag in ("ul", "ol")) else 0)
+        elif tag in OWN_LINE:
+            out.end_line()
         if tag == "table":
             for line in _aligned([r for r in tables.pop() if r]):
                 out.put(line)
@@ -296,8 +316,10 @@ def render(html: str) -> str:
             out.indent.pop()
         elif tag in ("dd", "blockquote"):
             out.indent.pop()
-        elif tag == "pre":
+        elif tag in ("pre", "textarea"):
             keep -= 1
+        elif tag == "svg":
+            drawings -= 1
     writers[0].end_line()
     return "\n".join(writers[0].lines)
 

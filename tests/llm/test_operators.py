@@ -322,3 +322,13 @@ def test_template_names_that_begin_sentences(spark):
     docs = [other, f'"{other}"', f"he said Ben has 8 apples. {other[18:]}", question.replace("Anna", "Eva"), "The sky has 2 moons. The sea has none. Who has more?"]
     got = {r.doc_id: r for r in template_matches(documents(spark, [(i, t, None) for i, t in enumerate(docs)]), items).collect()}
     assert set(got) == {0, 1, 2, 3} and all(r.n_changed > 0 for r in got.values())
+
+
+def test_render_shows_what_browsers_show():
+    assert render("<p title=it's>Text A isn't here</p><p>B</p>") == "Text A isn't here\n\nB"
+    assert render("<p title=it's>Text A</p>") == "Text A" and render("<p title=it'hidden>A") == "A"
+    assert render("<p title=\"a>b\" id = 'c>d' href=x=\"y>B") == "B" and render("<p a=\"b>C") == "C"
+    assert render("<select><optgroup label=G><option>One<option>Two</select>") == "G\nOne\nTwo"
+    assert render("a<textarea>x &lt;\n y</textarea>b") == "a\nx <\n y\nb"
+    assert render("<svg><title>t</title><defs/><path d='M0'/><text>In</text><defs><text>no</text></defs></svg><math><mi>x</mi></math>") == "In\nx"
+    assert render("<dialog>shut</dialog><dialog open>Open</dialog><datalist><option>no</datalist>") == "Open"
