@@ -22,7 +22,7 @@ from broadsheet.llm.spans import without
 
 # A chunk ends after each byte with a probability of 1 in 2 ** BITS, but not before MIN_CHUNK bytes.
 BITS, MIN_CHUNK, MAX_CHUNK = 5, 16, 1024
-MIN_RUN = 128
+MIN_RUN = 64
 _BLOCK = 1 << 20
 
 _GEAR = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 32, 256, np.uint32)

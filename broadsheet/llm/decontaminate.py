@@ -197,7 +197,7 @@ def template_matches(
     met = met.filter("item_pos is not null")
     if not near.isEmpty():
         # windows of few literals: wider ones, and as written, in the documents that hold their template
-        near = with_words(shared_table(texts.join(near, ["key1", "key2"], "left_semi"), "likely_documents"))
+        near = with_words(shared_table(texts.join(_small(near), ["key1", "key2"], "left_semi"), "likely_documents"))
         first, met = met, None
         for size in [r[0] for r in few.select("size").filter("size is not null").distinct().orderBy("size").collect()]:
             meet(near, size, reads, _of_size(few.filter(F.col("size") == size), size, _READINGS))
@@ -210,7 +210,7 @@ def template_matches(
         *place, (F.col("s.at") - F.col("item_pos") + F.col("pos")).alias("at"), F.col("s.value").alias("theirs")
     )
     slotted = shared_table(theirs.select("key1", "key2").distinct(), "slotted_documents")
-    own = with_words(texts.join(slotted, ["key1", "key2"], "left_semi")).select(
+    own = with_words(texts.join(_small(slotted), ["key1", "key2"], "left_semi")).select(
         "key1", "key2", F.explode(_slots(F.col("words"))).alias("s")
     )
     own = own.select("key1", "key2", F.col("s.at").alias("at"), F.col("s.value").alias("own")).distinct()

@@ -29,8 +29,6 @@ from broadsheet.llm.language_id import FOLDS, held_out
 
 MAX_TERMS = 4096
 MAX_EXAMPLES = 3000
-# A term's statistic beyond which it tells labels apart among a million candidates.
-MIN_CHI_SQUARE = 30.0
 NEIGHBOURS = 15
 BLOCK = 64
 # Weight of the base rate among the votes.
@@ -168,9 +166,7 @@ def _index(terms, idf, rows: pd.DataFrame, base_rate: float, empty_rate: float)
     )
 
 
-def fit(
-    labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES, min_chi_square: float = MIN_CHI_SQUARE
-) -> ExampleIndex:
+def fit(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
     """Index of ``labelled(doc_id, text, label)``; rows with a null label or id teach nothing."""
     rows = labelled.filter("label is not null and doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (F.col("label") == 1).cast("int").alias("label")
@@ -182,7 +178,7 @@ def fit(
     counts = counts.agg(F.sum("n").cast("double").alias("n"), F.sum("toxic").cast("double").alias("a"))
     spread = f"(n * ({total} - n) * cast({positive} as double) * ({total} - {positive}))"
     chi = F.expr(f"case when {spread} > 0 then {total} * pow(a * {total} - n * {positive}, 2) / {spread} else 0 end")
-    chosen = counts.select("term", "n", chi.alias("chi")).filter(F.col("chi") >= min_chi_square)
+    chosen = counts.select("term", "n", chi.alias("chi")).filter("chi > 0")
     chosen = chosen.orderBy(F.desc("chi"), "term").limit(max_terms).toArrow().to_pandas()
     terms = {t: i for i, t in enumerate(chosen["term"])}
     idf = 1 + np.log(max(total, 1) / np.maximum(chosen["n"].to_numpy(float), 1))

@@ -28,6 +28,8 @@ def _chosen(docs: DataFrame, fingerprint: Column, chosen: DataFrame) -> DataFram
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters or text, which are of no language."""
     model = fit(docs.select("doc_id", "text", "lang"))
+    if model is None:  # no row teaches; what has letters is in some language
+        return docs.filter(text_of().rlike(r"\p{L}"))
     # the columns travel under other names, so that any names are welcome
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     text = renamed.columns[docs.columns.index("text")]
