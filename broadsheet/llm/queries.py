@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from broadsheet.llm.alignment import align
 from broadsheet.llm.chat import conversations, linear_messages, loss_text, read_turns
 from broadsheet.llm.chunk_dedup import dedup_substrings
 from broadsheet.llm.decontaminate import (
@@ -17,10 +18,12 @@ from broadsheet.llm.decontaminate import (
     template_matches,
 )
 from broadsheet.llm.exact_dedup import exact_duplicates
+from broadsheet.llm.hard_negatives import mine
 from broadsheet.llm.language_id import identify_held_out
 from broadsheet.llm.ngram_join import near_duplicates
 from broadsheet.llm.packing import pack
 from broadsheet.llm.render import rendered_pages
+from broadsheet.llm.secret_spans import find_secrets
 from broadsheet.llm.suffix_dedup import remove_repeats
 from broadsheet.llm.toxicity import score_held_out
 
@@ -201,3 +204,43 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_layout_text")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered_pages(_table(spark, sf_dir, "pages"))
+
+
+@_query("op11_secret_structure")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op12_hard_negatives",
+    """
+    WITH e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+               CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+           other_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, sf_dir, "embeddings").withColumn("label", noisy), F.col("vec_id") % 100 == 0)
+
+
+@_query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"))
