@@ -40,16 +40,50 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(source + deleted), "".join(target), expanded
 
 
-def fold_accents(text: Column) -> Column:
-    """Letters without their accents, compatibility forms made plain, over all of Unicode.
+@cache
+def special_class() -> str:
+    """A character class of few ranges that holds every character whose fold is not one word
+    character for another: characters that vanish, become several, or begin or end a word.
 
-    Most characters fold to one or none, by a translation. Texts with one that becomes several
-    are walked character by character.
+    Beyond the accents of Latin the ranges span gaps of up to ``_GAP`` plain characters.
     """
     source, target, expanded = fold_tables()
+
+    def in_word(c: str) -> bool:
+        return c == "_" or unicodedata.category(c)[0] in "LN"
+
+    special = set(map(ord, expanded)) | set(map(ord, source[len(target) :])) | set(range(_SYLLABLES, _SYLLABLE_END))
+    special |= {ord(a) for a, b in zip(source, target) if in_word(a) != in_word(b)}
+    ranges: list[list[int]] = []
+    for code in sorted(special):
+        if ranges and code - ranges[-1][1] <= (_GAP if ranges[-1][1] >= _COMBINING else 1):
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    listed = "".join(f"\\x{{{first:x}}}-\\x{{{last:x}}}" for first, last in ranges)
+    # the first half rejects ASCII at once
+    return f"[\\x{{{ranges[0][0]:x}}}-\\x{{10ffff}}&&[{listed}]]"
+
+
+_COMBINING, _GAP = 0x300, 128
+
+
+def _plain(value: Column) -> Column:
+    """As many bytes as characters: ASCII, nothing to fold."""
+    return F.octet_length(value) == F.length(value)
+
+
+def _fold_each(value: Column) -> Column:
+    """Folds by one or no character each."""
+    source, target, _ = fold_tables()
+    return F.translate(value, source, target)
+
+
+def _fold_walked(value: Column) -> Column:
+    """Folds of all kinds, character by character."""
+    expanded = fold_tables()[2]
     first, last = chr(_SYLLABLES), chr(_SYLLABLE_END - 1)
-    several = "[" + "".join(expanded) + f"{first}-{last}]"
-    plain = F.split(F.lit("\x1f".join(expanded.values())), "\x1f")
+    listed, folds = F.lit("".join(expanded)), F.split(F.lit("\x1f".join(expanded.values())), "\x1f")
 
     def jamo(start: int, number: Column) -> Column:
         return F.substr(F.lit("".join(map(chr, range(start, start + _TAILS)))), number.cast("int"), F.lit(1))
@@ -60,26 +94,43 @@ def fold_accents(text: Column) -> Column:
         syllable = F.concat(
             jamo(0x1100, F.floor(n / (_VOWELS * _TAILS)) + 1), jamo(0x1161, F.floor(n / _TAILS) % _VOWELS + 1), tail
         )
-        listed = F.get(plain, F.position(c, F.lit("".join(expanded))) - 1)
-        return F.when((c >= first) & (c <= last), syllable).otherwise(listed)
+        place = F.position(c, listed)
+        return F.when(_plain(c), c).when((c >= first) & (c <= last), syllable).when(place > 0, F.get(folds, place - 1)).otherwise(c)
+
+    return F.array_join(F.transform(F.split(_fold_each(value), ""), expand), "")
+
+
+def fold_accents(text: Column) -> Column:
+    """Letters without their accents, compatibility forms made plain, over all of Unicode.
+
+    Most characters fold to one or none, by a translation. Texts that may hold one that becomes
+    several are walked character by character.
+    """
 
     def fold(value: Column) -> Column:
-        single = F.translate(value, source, target)
-        walked = F.transform(F.split(single, ""), lambda c: F.when(c.rlike(several), expand(c)).otherwise(c))
-        return (
-            # as many bytes as characters: plain ASCII, nothing to fold
-            F.when(F.octet_length(value) == F.length(value), value)
-            .when(value.rlike(several), F.array_join(walked, ""))
-            .otherwise(single)
-        )
+        return F.when(_plain(value), value).when(value.rlike(special_class()), _fold_walked(value)).otherwise(_fold_each(value))
 
     return let(text, fold)
 
 
 def tokens(text: Column, strip_accents: bool = True) -> Column:
-    """Lower-cased words of two or more word characters, by default without accents."""
+    """Lower-cased words of two or more word characters, by default without accents.
+
+    Texts without a character of ``special_class`` have their words cut first: only words with
+    accents are folded, each by a translation.
+    """
     lowered = F.lower(text)
-    return F.regexp_extract_all(fold_accents(lowered) if strip_accents else lowered, F.lit(TOKEN), F.lit(0))
+
+    def words(value: Column) -> Column:
+        return F.regexp_extract_all(value, F.lit(TOKEN), F.lit(0))
+
+    if not strip_accents:
+        return words(lowered)
+
+    def cut(value: Column) -> Column:
+        return F.when(~_plain(value) & value.rlike(special_class()), _fold_walked(value)).otherwise(value)
+
+    return F.transform(words(let(lowered, cut)), lambda w: F.when(_plain(w), w).otherwise(_fold_each(w)))
 
 
 def ngrams(words: Column, longest: int = 2) -> Column:
