@@ -1,20 +1,24 @@
 """TF-IDF over word n-grams.
 
-Terms are counted inside each row, so the only shuffles are term totals and, for the
-vectors, the surviving weights of each document. Text is never shuffled.
+Terms are counted inside each row. Term totals are the only shuffle: a vocabulary whose
+measured size allows it is broadcast, and lookup, weights and length of a document are
+computed in its row. Text is never shuffled.
+
+Wherever a text column is taken, an array column of words cut before (``with_words``) does too.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from broadsheet.functions.tokens import ngrams, term_counts, tokens
 from broadsheet.session import materialise
 
-# Up to this many vocabulary rows travel to every executor; larger ones are shuffled.
+# Vocabularies of up to this many rows, as counted, travel to every executor.
 BROADCAST_TERMS = 500_000
 
 
@@ -35,18 +39,33 @@ class TfidfOptions:
         return cls(1, 1, 1.0, 100, False, tuple(stop_words), False)
 
 
-def terms_of(text: Column, options: TfidfOptions) -> Column:
-    """Terms of a text, stop words taken out before n-grams are formed."""
+def words_of(text: Column, options: TfidfOptions) -> Column:
+    """Words of a text without stop words."""
     words = tokens(text, options.strip_accents)
     if options.stop_words:
         # array_except would also drop repetitions, which are counts here
         words = F.filter(words, lambda w: ~w.isin(*options.stop_words))
-    return ngrams(words, options.ngram_max)
+    return words
+
+
+def terms_of(text: Column, options: TfidfOptions) -> Column:
+    """Terms of a text, stop words taken out before n-grams are formed."""
+    return ngrams(words_of(text, options), options.ngram_max)
+
+
+def with_words(df: DataFrame, text: str, options: TfidfOptions) -> DataFrame:
+    """The text column replaced by its words: written once, it is never cut again."""
+    return df.withColumn(text, words_of(F.col(text), options))
+
+
+def _terms(df: DataFrame, text: str, options: TfidfOptions) -> Column:
+    cut = isinstance(df.schema[text].dataType, T.ArrayType)
+    return ngrams(F.col(text), options.ngram_max) if cut else terms_of(F.col(text), options)
 
 
 def document_terms(df: DataFrame, text: str, options: TfidfOptions, *keep: str) -> DataFrame:
     """``(*keep, term, tf)``: a row per distinct term; a null term if there is none."""
-    counted = term_counts(terms_of(F.col(text), options))
+    counted = term_counts(_terms(df, text, options))
     return df.select(*keep, counted.alias("__terms")).select(*keep, F.inline_outer("__terms"))
 
 
@@ -63,17 +82,30 @@ def _most_frequent(counted: DataFrame, limit: int) -> DataFrame:
     return counted.filter(bin_of >= lowest.scalar()).orderBy(F.desc("tf"), "term").limit(limit)
 
 
+def term_totals(df: DataFrame, text: str, options: TfidfOptions, sets: dict[str, Column]) -> DataFrame:
+    """``(term, tf_<set>, df_<set>, ...)`` for several sets of rows in one pass: a set is a
+    condition on the rows."""
+    flagged = df.select(text, *[c.alias(f"__in_{name}") for name, c in sets.items()])
+    terms = document_terms(flagged, text, options, *[f"__in_{name}" for name in sets]).filter(F.col("term").isNotNull())
+    sums = []
+    for name in sets:
+        member = F.col(f"__in_{name}")
+        sums += [F.sum(F.when(member, F.col("tf"))).alias(f"tf_{name}"), F.count_if(member).alias(f"df_{name}")]
+    return terms.groupBy("term").agg(*sums)
+
+
+def vocabulary_of(totals: DataFrame, name: str, n_docs: Column, options: TfidfOptions, *keep: str) -> DataFrame:
+    """``(term, tf, df, *keep)`` of the terms that a set of ``term_totals`` keeps."""
+    counted = totals.select("term", F.col(f"tf_{name}").alias("tf"), F.col(f"df_{name}").alias("df"), *keep).filter(
+        (F.col("df") >= max(options.min_df, 1)) & (F.col("df") <= F.lit(options.max_df) * n_docs)
+    )
+    return counted if options.max_features is None else _most_frequent(counted, options.max_features)
+
+
 def vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> DataFrame:
     """``(term, tf, df)`` of the kept terms of a corpus."""
     n_docs = df.agg(F.count(F.lit(1)))
-    counted = (
-        document_terms(df, text, options)
-        .filter(F.col("term").isNotNull())
-        .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
-        .filter((F.col("df") >= options.min_df) & (F.col("df") <= F.lit(options.max_df) * n_docs.scalar()))
-    )
-    return counted if options.max_features is None else _most_frequent(counted, options.max_features)
+    return vocabulary_of(term_totals(df, text, options, {"all": F.lit(True)}), "all", n_docs.scalar(), options)
 
 
 def with_idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
@@ -82,22 +114,67 @@ def with_idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
     return vocab.withColumn("idf", F.log((1 + n_docs.scalar()) / (1 + F.col("df"))) + 1)
 
 
-def lookup_side(vocab: DataFrame, bound: int | None) -> DataFrame:
-    """Broadcast a vocabulary only when its size is bounded and small."""
-    return F.broadcast(vocab) if bound is not None and bound <= BROADCAST_TERMS else vocab
-
-
 def raw_weight(options: TfidfOptions) -> Column:
     tf = (1 + F.log("tf")) if options.sublinear_tf else F.col("tf").cast("double")
     return tf * F.col("idf")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """The rows of a vocabulary that was counted and found small enough to be broadcast."""
+
+    terms: list[str]
+    numbers: dict[str, list[float]]
+
+    @staticmethod
+    def of(vocab: DataFrame, *numbers: str) -> "Lookup | None":
+        """Rows in the order of their terms; None if there are more than may be broadcast."""
+        rows = vocab.select("term", *numbers).limit(BROADCAST_TERMS + 1).collect()
+        if len(rows) > BROADCAST_TERMS:
+            return None
+        rows.sort(key=lambda r: r["term"])
+        return Lookup([r["term"] for r in rows], {n: [float(r[n]) for r in rows] for n in numbers})
+
+    def column(self, name: str) -> Column:
+        """The numbers as one constant array."""
+        return F.split(F.lit(" ".join(map(repr, self.numbers[name]))), " ").cast("array<double>")
+
+    def term_column(self) -> Column:
+        return F.split(F.lit("\x1f".join(self.terms)), "\x1f")
+
+
+def row_weights(df: DataFrame, text: str, lookup: Lookup, options: TfidfOptions, *keep: str) -> DataFrame:
+    """``(*keep, indices, values)``: positions in the lookup, rising, and raw weights; arrays
+    without elements for a row without a known term. Nothing is shuffled."""
+    terms = F.coalesce(_terms(df, text, options), F.array().cast("array<string>"))
+    if not lookup.terms:
+        return df.select(*keep, F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values"))
+    counter = CountVectorizerModel.from_vocabulary(lookup.terms, "__terms", "__counts")
+    counted = counter.transform(df.select(*keep, terms.alias("__terms"))).select(*keep, F.unwrap_udt("__counts").alias("__counts"))
+
+    def weight(index: Column, count: Column) -> Column:
+        tf = 1 + F.log(count) if options.sublinear_tf else count
+        return tf * F.get(lookup.column("idf"), index)
+
+    weights = F.zip_with("__counts.indices", "__counts.values", weight)
+    return counted.select(*keep, F.col("__counts.indices").alias("indices"), weights.alias("values"))
+
+
+def _square(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, w: total + w * w)
+
+
 def tfidf_weights(df: DataFrame, key: str, text: str, vocab: DataFrame, options: TfidfOptions = TfidfOptions()) -> DataFrame:
     """``(key, term, weight)`` with unit-length rows; documents without terms have none."""
+    lookup = Lookup.of(vocab, "idf")
+    if lookup is not None:
+        rows = row_weights(df, text, lookup, options, key).withColumn("norm", F.sqrt(_square(F.col("values"))))
+        pairs = F.arrays_zip("indices", "values")
+        return rows.select(key, "norm", F.inline(pairs)).select(
+            key, F.get(lookup.term_column(), F.col("indices")).alias("term"), (F.col("values") / F.col("norm")).alias("weight")
+        )
     terms = document_terms(df, text, options, key).filter(F.col("term").isNotNull())
-    weighted = terms.join(lookup_side(vocab.select("term", "idf"), options.max_features), "term").select(
-        key, "term", raw_weight(options).alias("w")
-    )
+    weighted = terms.join(vocab.select("term", "idf"), "term").select(key, "term", raw_weight(options).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("w") / norm).alias("weight"))
 
@@ -111,29 +188,21 @@ def tfidf_vectors(
 ) -> DataFrame:
     """``(key, *keep, features)`` with ``features`` in the stored form of a sparse vector.
 
-    ``vocab`` has ``(term, idx, idf)``. Each document's weights meet once, as packed
-    pairs; documents without a known term keep an empty vector.
+    ``vocab`` has ``(term, idx, idf)`` with ``idx`` from 0 in the order of the terms; it is
+    bounded as the coefficients are. Documents without a known term keep an empty vector.
     """
-    side = lookup_side(vocab.select("term", "idx", "idf"), options.max_features)
-    pair = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx"), raw_weight(options).alias("w")))
-    packed = (
-        document_terms(df, text, options, key, *keep)
-        .join(side, "term", "left")
-        .groupBy(key, *keep)
-        .agg(
-            F.sort_array(F.collect_list(pair)).alias("pairs"),
-            # summed beside the list: computed later it would be repeated for every weight
-            F.sqrt(F.sum(raw_weight(options) * raw_weight(options))).alias("norm"),
-        )
-    )
-    return packed.select(
+    lookup = Lookup.of(vocab, "idx", "idf")
+    if lookup is None or lookup.numbers["idx"] != list(range(size)):
+        raise ValueError(f"vectors need terms numbered in order, at most {BROADCAST_TERMS}")
+    weighted = row_weights(df, text, lookup, options, key, *keep).withColumn("norm", F.sqrt(_square(F.col("values"))))
+    return weighted.select(
         key,
         *keep,
         F.struct(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(size).alias("size"),
-            F.transform("pairs", lambda p: p["idx"]).alias("indices"),
-            F.transform("pairs", lambda p: p["w"] / F.col("norm")).alias("values"),
+            F.col("indices"),
+            F.transform("values", lambda w: w / F.col("norm")).alias("values"),
         ).cast(_SPARSE).alias("features"),
     )
 

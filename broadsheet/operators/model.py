@@ -1,7 +1,7 @@
 """Class-balanced logistic regression on TF-IDF features.
 
-Fitting is Spark ML. Scoring is a join with the coefficients and one sum per
-document, so it needs neither vectors nor Python and shuffles two numbers a row.
+Fitting is Spark ML. Scoring looks coefficients up inside the row and shuffles nothing; for
+coefficients too many to broadcast it is a join and one sum per document.
 """
 
 from __future__ import annotations
@@ -12,14 +12,15 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from broadsheet.operators.features import (
+    Lookup,
     TfidfModel,
     TfidfOptions,
     document_terms,
     fit_tfidf,
     raw_weight,
+    row_weights,
     stored_vectors,
     tfidf_vectors,
-    lookup_side,
 )
 from broadsheet.session import materialise
 from broadsheet.sources.readers import CorpusError
@@ -91,20 +92,31 @@ def score_linear(
 ) -> DataFrame:
     """``(key, *keep, margin, probability, prediction)`` for every row.
 
-    A document's terms leave one task side by side, so its two sums are complete
-    before the shuffle, which then moves one small row per document.
+    The coefficients are looked up in the row if their number allows a broadcast. Otherwise a
+    document's terms leave one task side by side, so its two sums are complete before the
+    shuffle, which then moves one small row per document; keys must be unique then.
     """
-    side = lookup_side(coefficients.select("term", "idf", "coef"), options.max_features)
-    w = raw_weight(options)
-    sums = (
-        document_terms(df, text, options, key, *keep)
-        .join(side, "term", "left")
-        .groupBy(key, *keep)
-        .agg(
-            F.coalesce(F.sum(w * F.col("coef")), F.lit(0.0)).alias("dot"),
-            F.coalesce(F.sum(w * w), F.lit(0.0)).alias("square"),
+    lookup = Lookup.of(coefficients, "idf", "coef")
+    if lookup is not None:
+        found = row_weights(df, text, lookup, options, key, *keep)
+        parts = F.zip_with("indices", "values", lambda i, w: w * F.get(lookup.column("coef"), i))
+        sums = found.select(
+            key,
+            *keep,
+            F.aggregate(parts, F.lit(0.0), lambda total, x: total + x).alias("dot"),
+            F.aggregate("values", F.lit(0.0), lambda total, w: total + w * w).alias("square"),
+        )
+    else:
+        w = raw_weight(options)
+        sums = (
+            document_terms(df, text, options, key, *keep)
+            .join(coefficients.select("term", "idf", "coef"), "term", "left")
+            .groupBy(key, *keep)
+            .agg(
+                F.coalesce(F.sum(w * F.col("coef")), F.lit(0.0)).alias("dot"),
+                F.coalesce(F.sum(w * w), F.lit(0.0)).alias("square"),
+            )
         )
-    )
     unit = F.when(F.col("square") > 0, F.col("dot") / F.sqrt("square")).otherwise(F.lit(0.0))
     return sums.select(key, *keep, (unit + F.lit(intercept)).alias("margin")).select(
         key,

@@ -98,14 +98,10 @@ SELECT doc_id, round(margin, 6) AS margin, round(1 / (1 + exp(-margin)), 6) AS p
 def linear_score(spark, sf):
     """Scoring with a linear model whose coefficients are log odds of the language."""
     documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    vocab = X.with_idf(X.vocabulary(documents, "text"), documents)
-    english = (
-        X.document_terms(documents, "text", X.TfidfOptions(), "lang")
-        .groupBy("term")
-        .agg(F.count_if(F.col("lang") == "en").alias("en"))
-    )
-    coefficients = english.join(F.broadcast(vocab), "term").select(
-        "term", "idf", F.log((1 + F.col("en")) / (1 + F.col("df") - F.col("en"))).alias("coef")
-    )
+    sets = {"all": F.lit(True), "english": F.col("lang") == "en"}
+    totals = X.term_totals(documents, "text", X.TfidfOptions(), sets)
+    n_docs = documents.agg(F.count(F.lit(1))).scalar()
+    vocab = X.with_idf(X.vocabulary_of(totals, "all", n_docs, X.TfidfOptions(), "df_english"), documents)
+    coefficients = vocab.withColumn("coef", F.log((1 + F.col("df_english")) / (1 + F.col("df") - F.col("df_english"))))
     out = score_linear(documents, "doc_id", "text", coefficients, -0.25)
     return out.select("doc_id", F.round("margin", 6).alias("margin"), F.round("probability", 6).alias("probability"), "prediction")

@@ -70,6 +70,30 @@ def test_tfidf_formulas(spark):
     assert vectors[4].numNonzeros() == 0 and len(vectors) == 4
 
 
+def test_weights_beyond_a_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, "bb cc dd"), (4, ".."), (5, None)], "id long, text string")
+    vocab = X.with_idf(X.vocabulary(df, "text", X.TfidfOptions(min_df=1)), df)
+    rounded = lambda: sorted((r.id, r.term, round(r.weight, 9)) for r in X.tfidf_weights(df, "id", "text", vocab).collect())
+    in_rows = rounded()
+    assert len(in_rows) == 12 and "Exchange" not in X.row_weights(df, "text", X.Lookup.of(vocab, "idf"), X.TfidfOptions(), "id")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(X, "BROADCAST_TERMS", 2)
+    assert rounded() == in_rows
+
+
+def test_words_cut_before_give_the_same(spark):
+    df = spark.createDataFrame([(1, "Aa bb aa"), (2, "aa cc the bb"), (3, None)], "id long, text string")
+    options = X.TfidfOptions(min_df=1, stop_words=("the",))
+    cut = X.with_words(df, "text", options)
+    totals = lambda d: sorted(map(tuple, X.term_totals(d, "text", options, {"x": F.col("id") > 1}).collect()), key=str)
+    by_hand = X.term_totals(df, "text", options, {"x": F.lit(True)}).collect()
+    assert {r.term: (r.tf_x, r.df_x) for r in by_hand}["aa"] == (3, 2)
+    flagged = df.withColumn("in", F.col("id") > 1)
+    assert sorted(map(tuple, X.term_totals(flagged, "text", options, {"x": F.col("in")}).collect()), key=str) == sorted(
+        map(tuple, X.term_totals(X.with_words(flagged, "text", options), "text", options, {"x": F.col("in")}).collect()), key=str
+    )
+    assert totals(cut) == totals(df)
+
+
 def test_stop_words_go_before_ngrams(spark):
     options = X.TfidfOptions(stop_words=("the", "of"))
     got = evaluate(spark, ["the cat of the house"], X.terms_of(V, options))

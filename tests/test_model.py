@@ -69,10 +69,20 @@ def test_join_scoring_equals_the_classifier(spark, samples, fitted):
     assert all(abs(by_ml[k][0] - by_join[k][0]) < 1e-9 and by_ml[k][1] == by_join[k][1] for k in by_ml)
 
 
-def test_scoring_moves_sums_not_text(samples, fitted):
+def test_scoring_shuffles_nothing(samples, fitted):
     plan = fitted.score(samples, "ord", "text")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "Exchange" not in plan and "EvalPython" not in plan
+
+
+def test_scoring_beyond_a_broadcast(samples, fitted, monkeypatch):
+    from broadsheet.operators import features as X
+
+    rounded = lambda: sorted((r.ord, round(r.margin, 9), r.prediction) for r in fitted.score(samples, "ord", "text").collect())
+    in_rows = rounded()
+    monkeypatch.setattr(X, "BROADCAST_TERMS", 3)
+    plan = fitted.score(samples, "ord", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 or "SortMergeJoin" in plan
+    assert rounded() == in_rows
 
 
 def test_model_round_trip(spark, samples, fitted, tmp_path):
