@@ -30,7 +30,7 @@ BUCKETS = 256
 # Broadcast at once: hash, keys and counts of so many bytes, some 17 a pair.
 SLAB_BYTES = 64 << 20
 # Text aligned at once in a task, and distinct pairs that a task holds before it writes them.
-CHUNK_BYTES, HELD_PAIRS = 4 << 20, 1 << 21
+CHUNK_BYTES, HELD_PAIRS = 1 << 20, 1 << 20
 # Rows merged by a node of the trees.
 FAN_IN = 16
 
@@ -184,6 +184,7 @@ def _encode(contents, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_a, encode_b = byte_level(contents.value[0], True), pieces(contents.value[1])
         sizes_a, sizes_b = encode_a.lengths, encode_b.lengths
+        kind_a, kind_b = _stored_as(len(sizes_a)), _stored_as(len(sizes_b))
         names = ["doc_id", "at", "n_bytes", "a", "b", "bucket", "part", "codes", "counts"]
         types = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         part = TaskContext.get().partitionId()
@@ -222,7 +223,7 @@ def _encode(contents, id_type: pa.DataType):
                     held.add(*np.unique(once % span, return_counts=True))
                 n = end - start
                 nothing = [None] * n
-                columns = [np.arange(row, row + n), np.where(ok, sizes[start:end] + 1, 0), [x.tobytes() for x in a], [x.tobytes() for x in b]]
+                columns = [np.arange(row, row + n), np.where(ok, sizes[start:end] + 1, 0), [x.astype(kind_a).tobytes() for x in a], [x.astype(kind_b).tobytes() for x in b]]
                 columns += [nothing] * 4
                 arrays = [pa.array(c, t) for c, t in zip(columns, types[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, n), *arrays], names=names)
@@ -238,6 +239,11 @@ def _encode(contents, id_type: pa.DataType):
 _NONE = np.zeros(0, "<u4")
 
 
+def _stored_as(count: int) -> str:
+    """The type that ids of a vocabulary are stored in."""
+    return "<u2" if count <= 1 << 16 else "<u4"
+
+
 def _merged_keys(table: pa.Table) -> pa.Table:
     codes = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("codes").to_pylist()]))
     return pa.table({"bucket": table.column("bucket")[:1], "part": table.column("part")[:1], "codes": pa.array([codes.tobytes()], pa.binary())})
@@ -302,7 +308,8 @@ def _looked_up(slab, count_a: int, count_b: int, sizes_of, first: bool):
             covered_all = batch.column("n_bytes").to_numpy()
             for start, end in _chunks(covered_all):
                 a, b = (
-                    [np.frombuffer(x, "<u4") for x in batch.column(c).slice(start, end - start).to_pylist()] for c in "ab"
+                    [np.frombuffer(x, _stored_as(count)) for x in batch.column(c).slice(start, end - start).to_pylist()]
+                    for c, count in (("a", count_a), ("b", count_b))
                 )
                 both = Aligned(np.concatenate([_NONE, *a]), np.concatenate([_NONE, *b]), sizes_a, sizes_b)
                 n, covered = end - start, covered_all[start:end]
