@@ -227,11 +227,14 @@ class TfidfModel:
     options: TfidfOptions
 
 
-def fit_tfidf(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> TfidfModel:
-    """Fit on the given rows only; indices follow the terms' alphabetical order."""
+def fit_tfidf(
+    df: DataFrame, text: str, options: TfidfOptions = TfidfOptions(), counted: DataFrame | None = None
+) -> TfidfModel:
+    """Fit on the given rows only; indices follow the terms' alphabetical order. ``counted`` is
+    their vocabulary, if it is known already."""
     if options.max_features is None:
         raise ValueError("a model needs max_features: its vocabulary bounds the coefficient vector")
-    vocab = with_idf(vocabulary(df, text, options), df)
+    vocab = with_idf(counted if counted is not None else vocabulary(df, text, options), df)
     # at most max_features rows, so numbering them in one task is bounded
     numbered = vocab.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
     table = materialise(numbered, "vocabulary")

@@ -11,9 +11,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from broadsheet.functions.text import fields_text, normalise
+from broadsheet.config import FIELD_SEPARATOR
+from broadsheet.functions.text import fields_text, normalise, strip
 from broadsheet.functions.urls import url_words
 from broadsheet.operators import metrics
+from broadsheet.operators.features import TfidfOptions, words_of
 from broadsheet.operators.model import FitOptions, HeadlineModel, fit_model
 from broadsheet.operators.sampling import CONFLICT_ORDER, fit_stratified_split, inject_label_conflicts
 from broadsheet.plans.cleaning import clean_frame
@@ -60,6 +62,26 @@ def representation(mode: str, headline: str = "headline", url: str = "url") -> C
     return fields_text(normalise(F.col(headline)), normalise(url_words(F.col(url))), mode)
 
 
+WORDS = ("headline_words", "url_words")
+
+
+def with_field_words(rows: DataFrame, tfidf: TfidfOptions) -> DataFrame:
+    """Adds both fields' words, as cleaning leaves the fields. A conflict's suffix is a URL's
+    fragment, so an injected row has its source's words."""
+    headline, url = (F.coalesce(F.col(c), F.lit("")) for c in ("headline", "url"))
+    texts = (normalise(headline), normalise(url_words(strip(url))))
+    return rows.withColumns({w: words_of(t, tfidf) for w, t in zip(WORDS, texts, strict=True)})
+
+
+def represented(df: DataFrame, mode: str, tfidf: TfidfOptions) -> DataFrame:
+    """Adds ``text``: the words of the fields in ``mode`` if the table brings them, else the text."""
+    if not set(WORDS) <= set(df.columns):
+        return df.withColumn("text", representation(mode))
+    headline, url = map(F.col, WORDS)
+    both = F.concat(headline, words_of(F.lit(FIELD_SEPARATOR), tfidf), url)
+    return df.withColumn("text", {H: headline, U: url, HU: both}[mode])
+
+
 @dataclass(frozen=True)
 class ExperimentData:
     """Training and test tables by name, written once, and their sizes."""
@@ -68,21 +90,33 @@ class ExperimentData:
     test: DataFrame
     train_rows: dict[str, int]
     sizes: dict[str, int]
-
-
-def experiment_data(corpus: DataFrame, *, test_size: float = 0.2, seed: int = 42, stress_frac: float = 0.5, stress_seed: int = 123) -> ExperimentData:
-    """Split first, then clean each side on its own, then inject conflicts."""
-    rows = materialise(experiment_input(corpus, "ord"), "corpus")
+    tfidf: TfidfOptions
+
+
+def experiment_data(
+    corpus: DataFrame,
+    *,
+    test_size: float = 0.2,
+    seed: int = 42,
+    stress_frac: float = 0.5,
+    stress_seed: int = 123,
+    tfidf: TfidfOptions = TfidfOptions(),
+) -> ExperimentData:
+    """Split first, then clean each side on its own, then inject conflicts.
+
+    Headlines and URLs are cut into words once, here: all training tables and the test table
+    carry the words of the corpus, however many models read them."""
+    rows = materialise(with_field_words(experiment_input(corpus, "ord"), tfidf), "corpus")
     split = fit_stratified_split(rows, "label", "ord", test_size, seed)
     train_raw, test_raw = split.train(rows), split.test(rows)
     stress_raw = materialise(inject_label_conflicts(train_raw, "ord", stress_frac, stress_seed), "stress")
 
     def numbered(df: DataFrame) -> DataFrame:
         # drawn rows repeat their source's number; the three columns together are unique
-        return df.withColumn("row_id", F.concat_ws("-", *CONFLICT_ORDER)).select("row_id", "headline", "url", "label")
+        return df.withColumn("row_id", F.concat_ws("-", *CONFLICT_ORDER)).select("row_id", "headline", "url", "label", *WORDS)
 
     def plain(df: DataFrame) -> DataFrame:
-        return df.select(F.col("ord").cast("string").alias("row_id"), "headline", "url", "label")
+        return df.select(F.col("ord").cast("string").alias("row_id"), "headline", "url", "label", *WORDS)
 
     train = {
         "loose": materialise(plain(clean_frame(train_raw, False)), "loose"),
@@ -99,7 +133,7 @@ def experiment_data(corpus: DataFrame, *, test_size: float = 0.2, seed: int = 42
         "stress_rows_raw": stress_raw.count(),
     }
     rows_of = {name: table.count() for name, table in train.items()}
-    return ExperimentData(train, test, rows_of, sizes)
+    return ExperimentData(train, test, rows_of, sizes, tfidf)
 
 
 def run_metadata(data: ExperimentData, source: str, *, seed: int, test_size: float, stress_frac: float) -> dict:
@@ -117,12 +151,12 @@ def run_metadata(data: ExperimentData, source: str, *, seed: int, test_size: flo
 
 
 def fit_scenario_model(train: DataFrame, fields: str, options: FitOptions = FitOptions()) -> HeadlineModel:
-    return fit_model(train.withColumn("text", representation(fields)), "row_id", "text", options=options)
+    return fit_model(represented(train, fields, options.tfidf), "row_id", "text", options=options)
 
 
 def evaluate_scenario(scenario: Scenario, model: HeadlineModel, test: DataFrame, train_rows: int, test_rows: int) -> tuple:
     """One row of the results table; only its numbers come to the driver."""
-    items = test.withColumn("text", representation(scenario.test_fields))
+    items = represented(test, scenario.test_fields, model.options)
     begin = time.perf_counter()
     scores = metrics.summary(model.score(items, "row_id", "text", ("label",))).first()
     seconds = time.perf_counter() - begin
@@ -139,19 +173,23 @@ def run_one_eval(scenario: Scenario, train: DataFrame, test: DataFrame, options:
     return train.sparkSession.createDataFrame([row], EVAL_RESULT)
 
 
-def run_grid(data: ExperimentData, scenarios=SCENARIOS, options: FitOptions = FitOptions()) -> DataFrame:
+def fit_grid(data: ExperimentData, scenarios=SCENARIOS, options: FitOptions = FitOptions()) -> dict[tuple[str, str], HeadlineModel]:
+    """The models that the scenarios need, by training table and fields."""
+    if (data.tfidf.strip_accents, data.tfidf.stop_words) != (options.tfidf.strip_accents, options.tfidf.stop_words):
+        raise ValueError("the tables' words were cut under other options: pass them to experiment_data as tfidf")
+    wanted = dict.fromkeys((s.train, s.train_fields) for s in scenarios)
+    return {(name, fields): fit_scenario_model(data.train[name], fields, options) for name, fields in wanted}
+
+
+def run_grid(
+    data: ExperimentData, scenarios=SCENARIOS, options: FitOptions = FitOptions(), models: dict | None = None
+) -> DataFrame:
     """The results table, one row per scenario in the given order."""
-    models: dict[tuple[str, str], HeadlineModel] = {}
-    rows = []
-    for s in scenarios:
-        wanted = (s.train, s.train_fields)
-        if wanted not in models:
-            models[wanted] = fit_scenario_model(data.train[s.train], s.train_fields, options)
-        rows.append(
-            evaluate_scenario(
-                s, models[wanted], data.test, data.train_rows[s.train], data.sizes["test_rows_strict"]
-            )
-        )
+    models = models or fit_grid(data, scenarios, options)
+    rows = [
+        evaluate_scenario(s, models[s.train, s.train_fields], data.test, data.train_rows[s.train], data.sizes["test_rows_strict"])
+        for s in scenarios
+    ]
     return data.test.sparkSession.createDataFrame(rows, EVAL_RESULT)
 
 

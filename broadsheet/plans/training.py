@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from broadsheet.config import CleaningOptions
 from broadsheet.functions.labels import text_of_string
 from broadsheet.operators import metrics
+from broadsheet.operators.features import term_totals, with_words
 from broadsheet.operators.model import FitOptions, HeadlineModel, fit_model
 from broadsheet.operators.sampling import fit_stratified_split
 from broadsheet.plans.cleaning import prepare_data, prepare_dataset
@@ -23,6 +24,8 @@ class TrainingResult:
     predictions: DataFrame
     report: DataFrame
     metadata: dict
+    # the samples, their texts cut into words
+    rows: DataFrame
 
 
 def train(
@@ -36,13 +39,18 @@ def train(
     cleaning: CleaningOptions | None = None,
 ) -> TrainingResult:
     """Samples are ``(key, text, label)``. The reported metrics are those of the split
-    model; the returned model has seen every row unless ``refit_on_all`` is off."""
-    rows = materialise(samples.select(key, "text", "label"), "samples")
+    model; the returned model has seen every row unless ``refit_on_all`` is off.
+
+    Texts are cut into words once. One aggregate counts the terms of the training side and of
+    all rows, for both vocabularies."""
+    rows = materialise(with_words(samples.select(key, "text", "label"), "text", options.tfidf), "samples")
     split = fit_stratified_split(rows, "label", key, test_size, seed)
-    validated = fit_model(split.train(rows), key, "text", options=options)
+    sets = {"train": ~split.is_test()} | ({"all": F.lit(True)} if refit_on_all else {})
+    totals = materialise(term_totals(rows, "text", options.tfidf, sets), "term_totals")
+    validated = fit_model(split.train(rows), key, "text", options=options, totals=(totals, "train"))
     predictions = materialise(validated.score(split.test(rows), key, "text", ("label",)), "predictions")
     scores = metrics.summary(predictions).first()
-    final = fit_model(rows, key, "text", options=options) if refit_on_all else validated
+    final = fit_model(rows, key, "text", options=options, totals=(totals, "all")) if refit_on_all else validated
     total, held_out = sum(split.counts.values()), sum(split.test_counts.values())
     metadata = {
         "model": "tfidf+logistic_regression",
@@ -66,7 +74,7 @@ def train(
             "label_map": {str(r.label): r.source for r in cleaning.site_rules},
         }
     return TrainingResult(
-        final.with_metadata(**metadata), predictions, metrics.classification_report(predictions), metadata
+        final.with_metadata(**metadata), predictions, metrics.classification_report(predictions), metadata, rows
     )
 
 

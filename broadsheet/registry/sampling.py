@@ -77,12 +77,16 @@ def label_conflict_cleaned(spark, sf):
     return clean_frame(stressed, strict=True, order=S.CONFLICT_ORDER)
 
 
-@query(
-    "run_metadata",
-    sql=f"""WITH {sql.EXPERIMENT}, sides AS (SELECT * FROM {sql.split('experiment', 'label', 'ord')}),
+# The experiment's tables: both sides of the split, and the training side with conflicts.
+EXPERIMENT_TABLES = f"""{sql.EXPERIMENT}, sides AS (SELECT * FROM {sql.split('experiment', 'label', 'ord')}),
   train AS (SELECT * EXCLUDE (side) FROM sides WHERE side = 'train'), test AS (SELECT * EXCLUDE (side) FROM sides WHERE side = 'test'),
   stressed AS (SELECT ord, url, headline, label, 0 AS part, CAST(0 AS BIGINT) AS draw FROM train
-               UNION ALL SELECT ord, coalesce(url, '') || '#label_conflict_' || ord, headline, 1 - label, 1, draw FROM {_draws('train', 'ord')})
+               UNION ALL SELECT ord, coalesce(url, '') || '#label_conflict_' || ord, headline, 1 - label, 1, draw FROM {_draws('train', 'ord')})"""
+
+
+@query(
+    "run_metadata",
+    sql=f"""WITH {EXPERIMENT_TABLES}
 SELECT 42 AS random_state, 0.2::DOUBLE AS test_size, 0.5::DOUBLE AS stress_frac,
   (SELECT count(*) FROM train) AS train_rows_raw, (SELECT count(*) FROM test) AS test_rows_raw,
   (SELECT count(*) FROM {sql.strict('train')}) AS train_rows_strict, (SELECT count(*) FROM {sql.strict('test')}) AS test_rows_strict,

@@ -38,6 +38,26 @@ def test_fit_agrees_with_newton(spark, balanced):
     assert np.allclose([*fitted.coefficients, fitted.intercept], want, atol=1e-3)
 
 
+@pytest.mark.parametrize("balanced", [True, False])
+def test_certificate_bounds_the_optimum(spark, balanced):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 5))
+    y = (x @ np.array([1.0, -2, 0.5, 0, 1]) + rng.normal(size=300) > 1.0).astype(int)
+    df = spark.createDataFrame([(Vectors.dense(r), int(t)) for r, t in zip(x.tolist(), y)], ["features", "label"]).repartition(5)
+    sizes = M.class_sizes(df, "label")
+    weight = np.where(y == 0, 300 / (2 * sizes[0]), 300 / (2 * sizes[1])) if balanced else np.ones(300)
+    best = newton(x, y, weight, 2.0)
+    margins = (2 * y - 1) * (x @ best[:-1] + best[-1])
+    optimum = 0.5 * best[:-1] @ best[:-1] + 2.0 * (weight * np.log1p(np.exp(-margins))).sum()
+    for steps in (1, 3, 200):
+        options = M.FitOptions(c=2.0, balanced=balanced, tol=1e-12, max_iter=steps)
+        fitted = M.fit_logistic(df, sizes, options)
+        proof = M.certify(df, fitted, sizes, options)
+        assert proof.dual <= optimum + 1e-6 and proof.objective >= optimum - 1e-6
+        assert np.linalg.norm(fitted.coefficients.toArray() - best[:-1]) <= proof.radius + 1e-6
+    assert proof.holds(1e-6) and not M.Certificate(2.0, 1.0).holds() and not M.Certificate(1.0, 2.0).holds()
+
+
 @pytest.fixture(scope="module")
 def samples(spark):
     rows = [
@@ -111,6 +131,17 @@ def test_train_reports_split_model_and_returns_refit(samples):
     assert "goal" in terms and result.model.metadata["final_retrain_on_full"]
 
 
+def test_shared_counting_equals_separate_fits(samples):
+    """Split model and refit from one count of the terms are those of their own rows."""
+    result = training.train(samples, options=SMALL, refit_on_all=False)
+    rows = result.rows
+    held_out = {r.ord for r in result.predictions.collect()}
+    alone = M.fit_model(samples.filter(~F.col("ord").isin(list(held_out))), "ord", "text", options=SMALL)
+    key = lambda m: sorted((r.term, round(r.idf, 9), round(r.coef, 6)) for r in m.coefficients.collect())
+    assert key(result.model) == key(alone)
+    assert key(training.train(samples, options=SMALL).model) == key(M.fit_model(rows, "ord", "text", options=SMALL))
+
+
 def test_train_and_evaluate_a_table(spark, samples):
     table = samples.filter("ord < 1000").select(
         F.col("ord").alias("n"),
