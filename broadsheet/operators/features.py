@@ -13,8 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from broadsheet.functions.binding import let
 from broadsheet.functions.tokens import ngrams, term_counts, tokens
 from broadsheet.session import materialise
 
@@ -143,13 +144,20 @@ class Lookup:
         return F.split(F.lit("\x1f".join(self.terms)), "\x1f")
 
 
+def _counter(spark: SparkSession, terms: list[str], source: str, target: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary``, which hands the terms over one call each, in one."""
+    java_terms = spark._jvm.java.util.regex.Pattern.compile("\x1f").split("\x1f".join(terms))
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", java_terms)
+    return model.setInputCol(source).setOutputCol(target)
+
+
 def row_weights(df: DataFrame, text: str, lookup: Lookup, options: TfidfOptions, *keep: str) -> DataFrame:
     """``(*keep, indices, values)``: positions in the lookup, rising, and raw weights; arrays
     without elements for a row without a known term. Nothing is shuffled."""
     terms = F.coalesce(_terms(df, text, options), F.array().cast("array<string>"))
     if not lookup.terms:
         return df.select(*keep, F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values"))
-    counter = CountVectorizerModel.from_vocabulary(lookup.terms, "__terms", "__counts")
+    counter = _counter(df.sparkSession, lookup.terms, "__terms", "__counts")
     counted = counter.transform(df.select(*keep, terms.alias("__terms"))).select(*keep, F.unwrap_udt("__counts").alias("__counts"))
 
     def weight(index: Column, count: Column) -> Column:
@@ -194,7 +202,12 @@ def tfidf_vectors(
     lookup = Lookup.of(vocab, "idx", "idf")
     if lookup is None or lookup.numbers["idx"] != list(range(size)):
         raise ValueError(f"vectors need terms numbered in order, at most {BROADCAST_TERMS}")
-    weighted = row_weights(df, text, lookup, options, key, *keep).withColumn("norm", F.sqrt(_square(F.col("values"))))
+    weighted = row_weights(df, text, lookup, options, key, *keep)
+
+    # bound to a variable: a length in a column would be folded into the lambda, once for every weight
+    def unit(values: Column) -> Column:
+        return let(F.sqrt(_square(values)), lambda norm: F.transform(values, lambda w: w / norm))
+
     return weighted.select(
         key,
         *keep,
@@ -202,7 +215,7 @@ def tfidf_vectors(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(size).alias("size"),
             F.col("indices"),
-            F.transform("values", lambda w: w / F.col("norm")).alias("values"),
+            let(F.col("values"), unit).alias("values"),
         ).cast(_SPARSE).alias("features"),
     )
 
@@ -215,7 +228,7 @@ def stored_vectors(vectors: DataFrame, name: str) -> DataFrame:
     """
     fields = [f for f in vectors.schema.fields if f.name != "features"]
     schema = T.StructType([*fields, T.StructField("features", VectorUDT(), True)])
-    return materialise(vectors, name, schema)
+    return materialise(vectors, name, schema, many_passes=True)
 
 
 @dataclass(frozen=True)

@@ -62,13 +62,22 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if small else scan
 
 
-def materialise(df: DataFrame, name: str, read_schema: StructType | None = None) -> DataFrame:
+# Less than this is not worth a task of its own where a table is read in hundreds of passes.
+PASS_BYTES = 8 << 20
+
+
+def materialise(df: DataFrame, name: str, read_schema: StructType | None = None, many_passes: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Later stages re-read the table instead of recomputing the lineage, and a lost
-    executor costs only the tasks it was running.
+    executor costs only the tasks it was running. A table for ``many_passes`` is read by
+    tasks of at least ``PASS_BYTES``, as each pass pays for every task.
     """
     spark = df.sparkSession
     path = f"{working_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spread(spark.read.schema(read_schema or df.schema).parquet(path))
+    table = spark.read.schema(read_schema or df.schema).parquet(path)
+    if many_passes:
+        size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return table.coalesce(max(1, -(-int(str(size)) // PASS_BYTES)))
+    return spread(table)
