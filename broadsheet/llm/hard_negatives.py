@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from broadsheet.llm.common import shared_table
 
-BUCKET_ROWS, BUCKETS_PER_SHARD, BLOCK_ANCHORS = 4096, 4, 4096
+BUCKET_ROWS, SHARD_ROWS, BLOCK_ANCHORS = 4096, 4096, 4096
 # A bucket's shortest vector has at least this share of the length of its longest.
 SAME_LENGTH = 0.9
 FOCUS = 8
@@ -315,7 +315,8 @@ def mine(
     index = shared_table(ordered.mapInArrow(_buckets(positives), _INDEX), "length_buckets")
     buckets = index.filter(F.col("bucket").isNotNull()).select("bucket", "label", "n", "longest", "ids", "width", "kind", "vals", "lists")
     anchors = index.filter(F.col("vec_id").isNotNull()).select("vec_id", "label", "vector", "seed")
-    shards = -(-buckets.count() // BUCKETS_PER_SHARD) or 1
+    # by rows: small buckets, of rare lengths or at the ends of partitions, share a shard
+    shards = -(-(buckets.agg(F.sum("n")).first()[0] or 0) // SHARD_ROWS) or 1
     blocks = -(-anchors.count() // BLOCK_ANCHORS) or 1
 
     def searched(block_of: DataFrame, find, schema: str) -> DataFrame:

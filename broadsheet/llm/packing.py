@@ -9,8 +9,6 @@ can be slack, so the loss is about one bin in ten thousand.
 
 from __future__ import annotations
 
-import json
-import re
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
@@ -18,85 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from broadsheet.llm.common import shared_table, text_of
+from broadsheet.llm.vocabularies import byte_level, content_of, vocabulary_path
 
 CAPACITY = 2048
 SEPARATOR = 0
 POOL_PIECES = 20_000
-# Words whose ids a worker remembers, and their longest; bounds its memory.
-REMEMBERED, LONGEST_REMEMBERED = 250_000, 24
-
-# Fixed value: how this vocabulary's tokenizer cuts a text before merging.
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# A text may be cut at single spaces: no token reaches across one. It may not be cut within
-# a run of white space, so texts that hold one go through the tokenizer whole.
-_RUNS = ("  ", "\n ", " \n", "\t ", " \t", "\r ", " \r")
-_RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def _byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in the vocabulary file: printable ones for
-    themselves, the others numbered from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
-class Encoder:
-    """Ids of a byte-level BPE vocabulary file, as little-endian unsigned 32-bit bytes.
-
-    Special tokens' strings within a text are ordinary text.
-    """
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            content = json.load(file)
-        letters = _byte_letters()
-        special = {t["content"] for t in content.get("added_tokens", [])}
-        ranks = {
-            bytes(letters[c] for c in token): i
-            for token, i in content["model"]["vocab"].items()
-            if token not in special
-        }
-        encoding = tiktoken.Encoding("vocabulary", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
-        self._encode, self._merge = encoding.encode_ordinary, encoding._encode_single_piece
-        self._known: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self._encode(text), "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a space and ``word``; a word of letters is one piece and is merged at once."""
-        part = " " + word
-        ids = np.array(self._merge(part) if word.isalpha() else self._encode(part), "<u4").tobytes()
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self._known) >= REMEMBERED:
-                self._known.clear()
-            self._known[word] = ids
-        return ids
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if (
-            text[0].isspace()
-            or text[-1].isspace()
-            or any(run in text for run in _RUNS)
-            or _RARE_SPACE.search(text)
-        ):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        known, fresh = self._known.get, self._word
-        return self._whole(first) + b"".join([known(w) or fresh(w) for w in rest])
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -106,7 +33,7 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, separator: int = SEPARATOR, with_ids: bool = False
+    docs: DataFrame, vocabulary: bytes, capacity: int = CAPACITY, separator: int = SEPARATOR, with_ids: bool = False
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: the documents' tokens, each ended
     by the separator, in pieces of at most ``capacity``. A null text counts as empty and is
@@ -120,15 +47,16 @@ def token_pieces(
     if with_ids:
         columns.append(("ids", pa.list_(pa.int32()), T.ArrayType(T.IntegerType())))
     end = np.array([separator], "<u4").tobytes()
+    content = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(vocabulary)
+        encode = byte_level(content.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 owner, rows = [], []
                 for i, text in enumerate(part.column("text")):
-                    ids = encode(text.as_py()) + end
+                    ids = encode(text.as_py()).tobytes() + end
                     for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         own = ids[4 * start : 4 * (start + length)]
                         row = (n, start, length, zlib.crc32(own))
@@ -215,10 +143,10 @@ def pack(
 
     Pieces of one sequence lie side by side from offset 0. A document longer than
     ``capacity`` is cut, all pieces but perhaps the first whole; no other is cut. Repeated
-    rows are packed as often as they occur. An empty table gives an empty table.
+    rows are packed as often as they occur. An empty table gives an empty table. Strings of
+    special tokens inside a text are special tokens, as the vocabulary's own library reads them.
     """
-    vocabulary = vocabulary or vocabulary_path()
-    pieces = token_pieces(docs, vocabulary, capacity, separator, with_ids)
+    pieces = token_pieces(docs, content_of(vocabulary or vocabulary_path()), capacity, separator, with_ids)
     names = pieces.columns
     pieces = shared_table(pieces.withColumn("at", F.monotonically_increasing_id()), "token_pieces")
     pools = -(-pieces.count() // pool_pieces) or 1

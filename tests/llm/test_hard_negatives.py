@@ -48,7 +48,7 @@ def frame(spark, rows):
 @pytest.mark.parametrize("bucket, block", [(4096, 4096), (17, 5)])
 def test_equals_brute_force(spark, bucket, block, monkeypatch):
     monkeypatch.setattr(hard_negatives, "BLOCK_ANCHORS", block)
-    monkeypatch.setattr(hard_negatives, "BUCKETS_PER_SHARD", 3)
+    monkeypatch.setattr(hard_negatives, "SHARD_ROWS", 60)
     rows = some_rows(600, bucket)
     rows += [(601, None, 1), (602, [1.0, None], 1), (603, [float("nan")] * 6, 1), (604, [float("inf")] * 6, 2), (605, [1.0] * 6, None)]
     rows += [(None, [1.0] * 6, 1), (606, [], 1), (612, [0.0] * 6, 2), (613, [1.0, 2.0], 0), (618, [1.0] * 9, 1)]

@@ -221,14 +221,13 @@ def test_best_branch(spark):
     assert {r["rank"]: [t.text for t in r.t] for r in got} == {1: ["q", "good", "more"], 2: ["q", "bad"]}
 
 
-def test_ids_equal_the_tokenizer():
+def test_packed_ids_equal_the_tokenizer(spark):
+    """The plain call of the contract, with the string of a special token among the texts."""
     tokenizers = pytest.importorskip("tokenizers")
     reference = tokenizers.Tokenizer.from_file(packing.vocabulary_path())
-    reference.encode_special_tokens = True
-    encode = packing.Encoder(packing.vocabulary_path())
-    texts = ["", " ", "  a", "a  b", "a \n b", "it's  I'll 'd", "x　y", "\x1c a \x1c", "<|endoftext|> hi", "é ü 你好 世界", "a\tb c\n\nd e ", "🙂 🙂x", "\x85 a \x85b", "one two one two"]
-    for text in texts:
-        assert np.frombuffer(encode(text), "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["", " ", "  a", "a  b", "a \n b", "it's  I'll 'd", "x　y", "\x1c a \x1c", "<|endoftext|> hi", "a <|endoftext|>  <|endoftext|>b", "é ü 你好 世界", "a\tb c\n\nd e ", "🙂 🙂x", "\x85 a \x85b", "one two one two"]
+    rows = packing.pack(documents(spark, [(i, t, None) for i, t in enumerate(texts)]), with_ids=True).collect()
+    assert {r.doc_id: list(r.ids) for r in rows} == {i: [*reference.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
 
 
 def test_pack(odd, nothing):
