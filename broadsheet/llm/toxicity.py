@@ -1,14 +1,16 @@
-"""Toxicity by nearest labelled examples.
+"""Toxicity by the nearest labelled examples.
 
-A text's vector holds TF-IDF weights of the terms that tell the labels apart (chi-square over all
-training rows). Examples sit in an inverted index in blocks of similar vectors; for each
-term and block the largest weight is kept. A query takes the blocks by their upper bounds and
-stops when no block left can hold a nearer example, so the nearest are exact. Votes are weighted
-by cosine, and calibrated on the examples themselves, each without its own vote.
+Texts are vectors of all their words: ``1 + ln(tf)`` times the inverse document frequency, times
+how far the word's odds differ between the labels, so that words which tell nothing weigh
+little; none is left out. The nearest examples by exact cosine vote, each by the square of its
+cosine; votes are calibrated by the examples' own, each without itself.
 
-Bounds, the same at any input size: ``max_terms`` terms and ``max_examples`` examples of each
-label (the first by a hash of their id), of which the index consists and which each worker
-gets. Term statistics cover all training rows.
+Examples are ordered so that similar ones share a block. An inverted list keeps, for each word,
+the blocks that hold it with its greatest weight there. The sums of those bound every block's
+cosines; blocks whose bound is below the cosine of the last neighbour are never opened.
+
+Document frequencies and odds are counted over all training rows. The examples are a sample of
+at most ``MAX_EXAMPLES`` rows of each label, the first by a hash of the id.
 """
 
 from __future__ import annotations
@@ -27,10 +29,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from broadsheet.llm.common import shared_table, text_of
 from broadsheet.llm.language_id import FOLDS, held_out
 
-MAX_TERMS = 4096
 MAX_EXAMPLES = 3000
 NEIGHBOURS = 15
 BLOCK = 64
+# Blocks opened before the first bound is known.
+FIRST_BLOCKS = 4
 # Weight of the base rate among the votes.
 PRIOR = 0.5
 BINS = 20
@@ -44,65 +47,85 @@ def words_of(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class ExampleIndex:
-    """``first[t, b]`` to ``first[t, b + 1]`` are the postings of term ``t`` in block ``b``."""
+    """Words ``t`` have the entries ``first[t]`` to ``first[t + 1]``, one for each block that holds
+    them: its number, its greatest weight, and the postings ``opens[e]`` to ``opens[e + 1]``."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    scale: np.ndarray
     ids: np.ndarray
     label: np.ndarray
+    first: np.ndarray
+    block: np.ndarray
+    greatest: np.ndarray
+    opens: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    first: np.ndarray
-    block_max: np.ndarray
     base_rate: float
-    empty_rate: float
     calibrated: np.ndarray | None = None
 
 
-def vector(terms: dict[str, int], idf: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and weights of length 1; both empty if the text has no chosen term."""
+def term_scale(rows: int, positive: int, n: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Weight of words that ``n`` rows hold, ``a`` of them positive: inverse document frequency
+    times the distance of their log odds from those of a word that tells nothing."""
+    rate = (positive + 1) / (rows + 2)
+    odds = np.log((a + rate) / (positive + 1)) - np.log((n - a + 1 - rate) / (rows - positive + 1))
+    return (1 + np.log(max(rows, 1) / np.maximum(n, 1))) * np.abs(odds)
+
+
+def vector(terms: dict[str, int], scale: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Known words and weights of length 1; both empty if the text has none that weighs."""
     counts = Counter(filter(None.__ne__, map(terms.get, words_of(text))))
-    if not counts:
-        return np.empty(0, np.int64), np.empty(0)
-    found = np.array(sorted(counts))
-    weight = (1 + np.log([counts[t] for t in found.tolist()])) * idf[found]
-    return found, weight / math.sqrt(weight @ weight)
+    found = np.fromiter(counts.keys(), np.int64, len(counts))
+    weight = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * scale[found]
+    length = math.sqrt(weight @ weight)
+    return (found, weight / length) if length > 0 else (np.empty(0, np.int64), np.empty(0))
+
+
+def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges, and which range each is of."""
+    sizes = ends - starts
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(owner)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), owner
 
 
 def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1):
     """``(examples, cosines)`` of the ``k`` nearest examples, nearest first; ties by number."""
-    bound = weights @ index.block_max[terms]
-    best = np.empty(0, np.int64)
-    score = np.empty(0)
-    for block in np.argsort(-bound, kind="stable").tolist():
-        if bound[block] <= 0 or len(best) >= k and bound[block] < score[k - 1] - 1e-12:
-            break
-        own = np.zeros(BLOCK)
-        for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-            a, b = index.first[t, block], index.first[t, block + 1]
-            if a < b:
-                own[index.example[a:b] - block * BLOCK] += w * index.weight[a:b]
-        hit = np.flatnonzero(own > 0)
-        found = hit + block * BLOCK
-        keep = found != but
-        best, score = np.concatenate([best, found[keep]]), np.concatenate([score, own[hit[keep]]])
-        order = np.lexsort((best, -score))[:k]
-        best, score = best[order], score[order]
-    return best, score
-
-
-def _vote(index: ExampleIndex, examples: np.ndarray, cosines: np.ndarray) -> float:
+    entries, owner = _spread(index.first[terms], index.first[terms + 1])
+    blocks, each = index.block[entries], weights[owner]
+    bound = np.bincount(blocks, each * index.greatest[entries], -(-len(index.ids) // BLOCK))
+    found, score = np.empty(0, np.int64), np.empty(0)
+    opened = np.zeros(len(bound), bool)
+    least = 0.0
+    for wanted in (FIRST_BLOCKS, len(bound)):
+        ready = np.argsort(-bound, kind="stable")[:wanted]
+        ready = ready[~opened[ready] & (bound[ready] > 0) & (bound[ready] >= least - 1e-12)]
+        open_ = np.zeros(len(bound), bool)
+        open_[ready] = True
+        opened |= open_
+        use = open_[blocks]
+        postings, of = _spread(index.opens[entries[use]], index.opens[entries[use] + 1])
+        cosine = np.bincount(index.example[postings], each[use][of] * index.weight[postings], len(index.ids))
+        hit = np.flatnonzero(cosine > 0)
+        hit = hit[hit != but]
+        found, score = np.concatenate([found, hit]), np.concatenate([score, cosine[hit]])
+        order = np.lexsort((found, -score))[:k]
+        found, score = found[order], score[order]
+        if len(found) == k:
+            least = score[-1]
+    return found, score
+
+
+def vote(index: ExampleIndex, examples: np.ndarray, cosines: np.ndarray) -> float:
+    """Share of the positive label among the neighbours, by squared cosine, and the base rate."""
     trust = cosines**2
     return float((trust @ index.label[examples] + PRIOR * index.base_rate) / (trust.sum() + PRIOR))
 
 
 def score_text(index: ExampleIndex, text: str) -> tuple[float, list[int]]:
     """Calibrated score, and the ids of the three nearest examples."""
-    terms, weights = vector(index.terms, index.idf, text)
-    if not len(terms):
-        return index.empty_rate, []
+    terms, weights = vector(index.terms, index.scale, text)
     examples, cosines = nearest(index, terms, weights, NEIGHBOURS)
-    raw = _vote(index, examples, cosines)
+    raw = vote(index, examples, cosines)
     centres = (np.arange(BINS) + 0.5) / BINS
     score = raw if index.calibrated is None else float(np.interp(raw, centres, index.calibrated))
     return score, index.ids[examples[:3]].tolist()
@@ -122,99 +145,111 @@ def _rising(rates: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        total, toxic = Counter(), Counter()
+        total, positive = Counter(), Counter()
         for text, label in zip(batch["text"], batch["label"], strict=True):
             found = set(words_of(text))
             total.update(found)
             if label:
-                toxic.update(found)
+                positive.update(found)
         terms = list(total)
-        yield pd.DataFrame({"term": terms, "n": [total[t] for t in terms], "toxic": [toxic[t] for t in terms]})
+        yield pd.DataFrame({"term": terms, "n": [total[t] for t in terms], "a": [positive[t] for t in terms]})
 
 
-def _vectors(terms: dict[str, int], idf: np.ndarray):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [vector(terms, idf, t) for t in batch["text"]]
-            out = batch[["doc_id", "label"]].copy()
-            out["terms"], out["weights"] = [f[0] for f in found], [f[1] for f in found]
-            yield out
-
-    return run
-
-
-def _index(terms, idf, rows: pd.DataFrame, base_rate: float, empty_rate: float) -> ExampleIndex:
-    """Examples ordered by their weightiest terms, so that blocks hold similar ones."""
-    lead = [tuple(t[np.argsort(-w, kind="stable")[:3]].tolist()) for t, w in zip(rows["terms"], rows["weights"], strict=True)]
-    rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (lead[i], rows["doc_id"].iloc[i]))]
-    example = np.repeat(np.arange(len(rows)), [len(t) for t in rows["terms"]])
-    term = np.concatenate([*rows["terms"], np.empty(0, np.int64)]).astype(np.int64)
-    weight = np.concatenate([*rows["weights"], np.empty(0)])
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        counts = [Counter(words_of(t)) for t in batch["text"]]
+        sizes = [len(c) for c in counts]
+        yield pd.DataFrame(
+            {
+                "example": np.repeat(batch["example"].to_numpy(), sizes),
+                "term": [t for c in counts for t in c],
+                "tf": np.array([n for c in counts for n in c.values()], np.int64),
+            }
+        )
+
+
+def build_index(
+    terms: dict[str, int], scale: np.ndarray, ids: np.ndarray, label: np.ndarray,
+    example: np.ndarray, term: np.ndarray, tf: np.ndarray, base_rate: float,
+) -> ExampleIndex:
+    """Index of examples given as ``(example, term, tf)``, examples and terms by number."""
+    weight = (1 + np.log(tf)) * scale[term]
+    length = np.sqrt(np.bincount(example, weight**2, len(ids)))
+    weight = weight / np.where(length > 0, length, 1)[example]
+    # examples by their weightiest words, so that blocks hold similar ones
+    order = np.lexsort((term, -weight, example))
+    rank = np.arange(len(order)) - np.searchsorted(example[order], example[order])
+    lead = np.full((3, len(ids)), -1)
+    for r in range(3):
+        at = order[rank == r]
+        lead[r, example[at]] = term[at]
+    by = np.lexsort((ids, lead[2], lead[1], lead[0]))
+    place = np.empty(len(ids), np.int64)
+    place[by] = np.arange(len(ids))
+    example = place[example]
     order = np.lexsort((example, term))
     example, term, weight = example[order], term[order], weight[order]
-    blocks = -(-len(rows) // BLOCK)
-    cell = term * blocks + example // BLOCK
-    bounds = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-    first = np.empty((len(terms), blocks + 1), np.int64)
-    first[:, :-1] = bounds[:-1].reshape(len(terms), blocks)
-    first[:, -1] = bounds[blocks::blocks] if blocks else 0
-    block_max = np.zeros(len(terms) * blocks)
-    np.maximum.at(block_max, cell, weight)
+    cell = term * (len(ids) // BLOCK + 1) + example // BLOCK
+    starts = np.flatnonzero(np.diff(cell, prepend=-1))
     return ExampleIndex(
-        terms, idf, rows["doc_id"].to_numpy(), rows["label"].to_numpy().astype(float), example, weight,
-        first, block_max.reshape(len(terms), blocks), base_rate, empty_rate,
+        terms, scale, ids[by], label[by].astype(float), np.searchsorted(term[starts], np.arange(len(terms) + 1)),
+        example[starts] // BLOCK, np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0),
+        np.append(starts, len(term)), example, weight, base_rate,
     )
 
 
-def fit(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
-    """Index of ``labelled(doc_id, text, label)``; rows with a null label or id teach nothing."""
+def fit(labelled: DataFrame, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
+    """Index of ``labelled(doc_id, text, label)``; rows with a null label or id teach nothing.
+
+    What comes to the driver are the words of at most ``2 * max_examples`` rows. Repeated rows
+    are examples of their own; without rows the index is empty and every score the base rate.
+    """
+    spark = labelled.sparkSession
     rows = labelled.filter("label is not null and doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (F.col("label") == 1).cast("int").alias("label")
     )
     rows = shared_table(rows, "labelled_texts")
     total, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     base_rate = (positive + 1) / (total + 2)
-    counts = rows.mapInPandas(_term_counts, "term string, n long, toxic long").groupBy("term")
-    counts = counts.agg(F.sum("n").cast("double").alias("n"), F.sum("toxic").cast("double").alias("a"))
-    spread = f"(n * ({total} - n) * cast({positive} as double) * ({total} - {positive}))"
-    chi = F.expr(f"case when {spread} > 0 then {total} * pow(a * {total} - n * {positive}, 2) / {spread} else 0 end")
-    chosen = counts.select("term", "n", chi.alias("chi")).filter("chi > 0")
-    chosen = chosen.orderBy(F.desc("chi"), "term").limit(max_terms).toArrow().to_pandas()
-    terms = {t: i for i, t in enumerate(chosen["term"])}
-    idf = 1 + np.log(max(total, 1) / np.maximum(chosen["n"].to_numpy(float), 1))
-    vectors = shared_table(
-        rows.mapInPandas(_vectors(terms, idf), "doc_id long, label int, terms array<long>, weights array<double>"), "vectors"
-    )
-    full = vectors.filter("size(terms) > 0")
-    empty = vectors.filter("size(terms) = 0").agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    empty_rate = (empty[1] + base_rate) / (empty[0] + 1)
-    sampled = [
-        full.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).toArrow().to_pandas() for y in (0, 1)
-    ]
-    index = _index(terms, idf, pd.concat(sampled, ignore_index=True), base_rate, empty_rate)
+    sides = [rows.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(max_examples) for y in (0, 1)]
+    chosen = shared_table(sides[0].unionByName(sides[1]).withColumn("example", F.monotonically_increasing_id()), "examples")
+    words = shared_table(chosen.select("example", "text").mapInPandas(_words, "example long, term string, tf long"), "example_words")
+    counts = rows.mapInPandas(_term_counts, "term string, n long, a long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
+    known = counts.join(words.select("term").distinct(), "term", "left_semi")
+    numbered = known.orderBy("term").toArrow().to_pandas()
+    terms = {t: i for i, t in enumerate(numbered["term"])}
+    scale = term_scale(total, positive, numbered["n"].to_numpy(float), numbered["a"].to_numpy(float))
+    examples = chosen.select("example", "doc_id", "label").orderBy("example").toArrow().to_pandas()
+    listed = words.toArrow().to_pandas()
+    index = build_index(
+        terms, scale, examples["doc_id"].to_numpy(), examples["label"].to_numpy(),
+        np.searchsorted(examples["example"].to_numpy(), listed["example"].to_numpy()),
+        listed["term"].map(terms).to_numpy(np.int64), listed["tf"].to_numpy(float), base_rate,
+    )
+    del listed, numbered
     if not len(index.ids):
         return index
     # calibration: every example's vote without itself, labels weighted as among all rows
-    share = full.groupBy("label").count().toArrow().to_pandas().set_index("label")["count"].to_dict()
-    worth = [share.get(y, 0) / max(len(s), 1) for y, s in zip((0, 1), sampled, strict=True)]
-    spark = labelled.sparkSession
+    share = {0: total - positive, 1: positive}
+    worth = [share[y] / max(int((index.label == y).sum()), 1) for y in (0, 1)]
     sent = spark.sparkContext.broadcast(index)
 
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = sent.value
-        place = np.full(len(index.ids), -1)
         by_example = np.argsort(index.example, kind="stable")
-        term = np.repeat(np.arange(len(index.terms)), index.first[:, -1] - index.first[:, 0])
-        starts = np.searchsorted(index.example[by_example], np.arange(len(place) + 1))
+        entry_term = np.repeat(np.arange(len(index.terms)), np.diff(index.first))
+        term = np.repeat(entry_term, np.diff(index.opens))
+        starts = np.searchsorted(index.example[by_example], np.arange(len(index.ids) + 1))
         for batch in batches:
             votes = []
             for i in batch["id"].tolist():
                 own = by_example[starts[i] : starts[i + 1]]
-                votes.append(_vote(index, *nearest(index, term[own], index.weight[own], NEIGHBOURS, but=i)))
+                votes.append(vote(index, *nearest(index, term[own], index.weight[own], NEIGHBOURS, but=i)))
             label = index.label[batch["id"].to_numpy()].astype(int)
             yield pd.DataFrame({"bin": np.minimum((np.array(votes) * BINS).astype(int), BINS - 1), "label": label})
 
     votes = spark.range(len(index.ids)).mapInPandas(own_votes, "bin int, label int").groupBy("bin", "label").count().toArrow().to_pandas()
+    sent.destroy()
     mass = np.zeros((BINS, 2))
     for b, y, n in votes.itertuples(index=False):
         mass[b, y] += n * worth[y]
@@ -226,7 +261,7 @@ def fit(labelled: DataFrame, max_terms: int = MAX_TERMS, max_examples: int = MAX
 
 def score_documents(docs: DataFrame, index: ExampleIndex) -> DataFrame:
     """``(doc_id, score, evidence)``: evidence holds the ids of the nearest examples. A null
-    text counts as empty; texts without a chosen term get the rate of such texts."""
+    text counts as empty; texts without a known word score as the base rate does."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -271,36 +271,70 @@ def test_code_lengths_are_those_of_a_distribution(spark):
     assert whole.shape == (1, 2) and (whole > 0).all()
 
 
-def test_nearest_is_exact():
-    rng = np.random.default_rng(4)
-    terms = {f"t{i}": i for i in range(40)}
-    rows = {"doc_id": range(300), "label": rng.integers(0, 2, 300), "terms": [], "weights": []}
-    for _ in range(300):
-        found = np.sort(rng.choice(40, rng.integers(1, 8), replace=False))
-        weight = rng.random(len(found))
-        rows["terms"].append(found)
-        rows["weights"].append(weight / np.sqrt(weight @ weight))
-    import pandas as pd
-
-    index = toxicity._index(terms, np.ones(40), pd.DataFrame(rows), 0.5, 0.1)
-    dense = np.zeros((300, 40))
-    block = np.repeat(np.arange(40), index.first[:, -1] - index.first[:, 0])
-    dense[index.example, block] = index.weight
-    for t, w in zip(rows["terms"][:50], rows["weights"][:50], strict=True):
-        query = np.zeros(40)
-        query[t] = w
-        want = np.sort(dense @ query)[::-1][:10]
-        assert np.allclose(toxicity.nearest(index, t, w, 10)[1], want[want > 0])
+def toxic_by_hand(train, texts, k=toxicity.NEIGHBOURS):
+    """Cosines of whole weighted vectors over all examples, and the votes of the nearest."""
+    counted = [(i, Counter(toxicity.words_of(t)), y) for i, t, y in train]
+    n, a = Counter(), Counter()
+    for _, words, y in counted:
+        n.update(words.keys())
+        a.update(words.keys() if y else ())
+    terms = sorted(n)
+    positive = sum(y for _, _, y in train)
+    scale = dict(zip(terms, toxicity.term_scale(len(train), positive, np.array([n[t] for t in terms], float), np.array([a[t] for t in terms], float))))
+
+    def unit(words):
+        v = {t: (1 + np.log(c)) * scale[t] for t, c in words.items() if t in scale}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()} if size else {}
+
+    vectors = [unit(words) for _, words, _ in counted]
+    rate = (positive + 1) / (len(train) + 2)
+    for text in texts:
+        q = unit(Counter(toxicity.words_of(text)))
+        cosines = np.array([sum(x * v.get(t, 0) for t, x in q.items()) for v in vectors])
+        best = np.sort(cosines[cosines > 0])[::-1][:k]
+        near = np.argsort(-cosines, kind="stable")[: len(best)]
+        trust = cosines[near] ** 2
+        yield best, (sum(trust * np.array([train[i][2] for i in near])) + 0.5 * rate) / (trust.sum() + 0.5)
+
+
+def test_toxic_neighbours_and_votes_equal_brute_force(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").select("doc_id", "text", "toxic")
+    rows = sorted(map(tuple, rows.collect()))
+    train, asked = rows[:220], [t for _, t, _ in rows[220:260]] + ["", "of", "unknownword"]
+    index = toxicity.fit(spark.createDataFrame(train, "doc_id long, text string, label int"))
+    assert len(index.ids) == 220 and index.calibrated is not None and (np.diff(index.calibrated) >= 0).all()
+    for text, (cosines, votes) in zip(asked, toxic_by_hand(train, asked)):
+        found, got = toxicity.nearest(index, *toxicity.vector(index.terms, index.scale, text), toxicity.NEIGHBOURS)
+        assert np.allclose(got, cosines) and toxicity.vote(index, found, got) == pytest.approx(votes, abs=1e-6)
 
 
 def test_toxic_held_out_documents(spark, sf_dir, nothing):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.score_held_out(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     right = [r for r in rows if r.predicted == r.toxic]
-    assert len(right) > 0.9 * len(rows) and all(0 <= r.score <= 1 for r in rows)
+    assert len(right) > max(0.9 * len(rows), sum(not r.toxic for r in rows)) and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score_held_out(nothing, labels).count() == 0
 
 
+def test_most_toxic_documents_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score_held_out(docs.join(labels, "doc_id", "left_semi"), labels).join(labels, "doc_id").filter("held_out").collect()
+    toxic = [r for r in rows if r.toxic]
+    flagged = [r for r in rows if r.predicted]
+    hits = sum(r.toxic for r in flagged)
+    assert len(toxic) > 90 and hits >= 0.9 * len(toxic) and hits >= 0.9 * len(flagged)
+
+
+def test_toxicity_of_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, None), (5, 0), (None, 1)], "doc_id long, toxic int")
+    rows = toxicity.score_held_out(odd, labels).collect()
+    assert len(rows) == 10 and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (3, 4, 7)}) == 1
+    only = toxicity.score_held_out(odd, labels.filter("toxic is null")).collect()
+    assert len(only) == 10 and {r.score for r in only} == {0.5}
+
+
 def test_templates_of_few_literals(spark):
     texts = ["A car drives 120 km in 2 hours. How far in 5 hours?", "What is 12 + 34 + 56 + 78?", "12 + 34", "Is 5 prime?"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
