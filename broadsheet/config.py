@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 # --- fixed values: column-role candidates, label spellings, sites, suffixes ---
 LABEL_COLUMNS = ("label", "labels", "source", "outlet", "news_source", "publisher")
 TEXT_COLUMNS = ("headline", "title", "text", "content", "news_title")
 URL_COLUMNS = ("url", "link", "article_url")
+# text fields of a record, in the order in which they are tried
+TEXT_FIELDS = ("headline", "title", "text", "content")
 
 LABEL_SYNONYMS = {
     0: ("0", "fox", "foxnews", "fox news"),
@@ -77,6 +80,15 @@ SITE_RULES = (
 )
 
 
+@dataclass(frozen=True)
+class RoleNames:
+    """Candidate columns of each role, in the order in which they are tried, in lower case."""
+
+    text: tuple[str, ...] = TEXT_COLUMNS
+    label: tuple[str, ...] = LABEL_COLUMNS
+    url: tuple[str, ...] = URL_COLUMNS
+
+
 @dataclass(frozen=True)
 class CleaningOptions:
     """Switches of the labelled-corpus preparation; the defaults clean nothing."""
@@ -88,6 +100,9 @@ class CleaningOptions:
     min_headline_chars: int = 0
     drop_symbol_only: bool = False
     site_rules: tuple[SiteRule, ...] = field(default=SITE_RULES)
+    roles: RoleNames = field(default=RoleNames())
+    # spellings of each class id; the label of a site is the id of its rule
+    label_synonyms: Mapping[int, tuple[str, ...]] = field(default_factory=lambda: LABEL_SYNONYMS)
 
     @classmethod
     def strict(cls, **changes) -> "CleaningOptions":

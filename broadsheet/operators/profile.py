@@ -43,24 +43,41 @@ def class_distribution(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return both.groupBy("dataset", "class").agg(F.count(F.lit(1)).alias("count"))
 
 
-MAX_MAP_KEYS = 10_000
+def profile_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    """``(name, key, count)``: rows by label and by source before and after cleaning, and by
+    headline method before it; a null key is a value.
 
+    One aggregate over grouping sets; values may be as many as they like.
+    """
 
-def count_map(df: DataFrame, column: str) -> DataFrame:
-    """One row: ``MAP<STRING,BIGINT>`` of value counts, for columns with few values.
+    def tagged(df: DataFrame, side: str, method: Column) -> DataFrame:
+        return df.select(
+            F.lit(side).alias("side"),
+            F.col("label").cast("string").alias("label"),
+            F.col("source").cast("string").alias("source"),
+            method.cast("string").alias("method"),
+        )
+
+    both = tagged(raw, "raw", F.col("headline_method")).unionByName(tagged(clean, "clean", F.lit(None)))
+    sets = [[F.col("side"), F.col(c)] for c in ("label", "source", "method")]
+    counted = both.groupingSets(sets, "side", "label", "source", "method").agg(
+        F.count(F.lit(1)).alias("count"), *[F.grouping(c).alias(f"no_{c}") for c in ("label", "source", "method")]
+    )
+    name = (
+        F.when(F.col("no_label") == 0, F.concat("side", F.lit("_label_counts")))
+        .when(F.col("no_source") == 0, F.concat("side", F.lit("_source_counts")))
+        .when(F.col("side") == "raw", F.lit("headline_method_counts_raw"))
+    )
+    key = F.when(F.col("no_label") == 0, F.col("label")).when(F.col("no_source") == 0, F.col("source")).otherwise(F.col("method"))
+    return counted.select(name.alias("name"), key.alias("key"), "count").filter(F.col("name").isNotNull())
 
-    A column with more than ``MAX_MAP_KEYS`` values is an error, found before more
-    than that many entries are gathered; ``value_counts`` has no such bound.
-    """
+
+def count_map(df: DataFrame, column: str) -> DataFrame:
+    """One row: ``MAP<STRING,BIGINT>`` of value counts. A map is one cell, so it is for columns of
+    few values; ``value_counts`` and ``profile_counts`` have a row for each."""
     key = F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("key")
     entries = value_counts(df, column).select(F.struct(key, F.col("count").alias("value")).alias("e"))
-    gathered = entries.limit(MAX_MAP_KEYS + 1).agg(F.collect_list("e").alias("es"))
-    too_many = F.raise_error(F.lit(f"more than {MAX_MAP_KEYS} values in {column!r}"))
-    return gathered.select(
-        F.when(F.size("es") > MAX_MAP_KEYS, too_many)
-        .otherwise(F.map_from_entries(F.sort_array("es")))
-        .alias(f"{column}_counts")
-    )
+    return entries.agg(F.map_from_entries(F.sort_array(F.collect_list("e"))).alias(f"{column}_counts"))
 
 
 def dataset_profile(urls: DataFrame, raw: DataFrame, clean: DataFrame, rules=SITE_RULES) -> DataFrame:

@@ -130,7 +130,7 @@ def prepare_dataset(df: DataFrame, order: str, options: CleaningOptions = Cleani
     is rejected later also suppresses its good rows. Headlines are deduplicated
     among accepted rows only. Rows without a URL are never URL duplicates.
     """
-    roles = with_roles(df, order, require_text=options.require_text_column)
+    roles = with_roles(df, order, options.require_text_column, options.roles)
     text = normalise(F.col("raw_text"))
     if options.allow_url_fallback:
         chosen = F.coalesce(
@@ -143,7 +143,7 @@ def prepare_dataset(df: DataFrame, order: str, options: CleaningOptions = Cleani
     rows = rows.select("ord", "url", "raw_label", F.col("chosen").alias("text"))
     if options.remove_duplicate_urls:
         rows = keep_first_or_blank(rows, url_key(F.col("url")), F.col("ord"), "ord")
-    label = resolve_label(F.col("raw_label"), F.col("url"), options.site_rules)
+    label = resolve_label(F.col("raw_label"), F.col("url"), options.site_rules, options.label_synonyms)
     rows = computed(rows, label.alias("label")).drop("raw_label")
     keep = F.col("label").isNotNull() & (F.col("text") != "")
     if options.min_headline_chars > 0:

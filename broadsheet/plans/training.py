@@ -80,7 +80,7 @@ def train(
 
 def train_from_table(df: DataFrame, order: str, cleaning: CleaningOptions = CleaningOptions.strict(), **settings) -> TrainingResult:
     """Guard, prepare and train a table whose roles are found by column name."""
-    require_text(df, allow_url_text=cleaning.allow_url_fallback)
+    require_text(df, cleaning.allow_url_fallback, cleaning.roles)
     samples = prepare_dataset(require_rows(df, "the table is empty"), order, cleaning)
     require_rows(samples, "no row has both a usable text and a label")
     return train(samples, "ord", cleaning=cleaning, **settings)

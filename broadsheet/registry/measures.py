@@ -73,6 +73,19 @@ def dataset_profile(spark, sf):
     return P.dataset_profile(urls, raw, clean, RULES)
 
 
+@query(
+    "dataset_profile_counts",
+    sql=f"""WITH {_RAW_AND_CLEAN}
+SELECT 'raw_label_counts' AS name, CAST(label AS VARCHAR) AS key, count(*) AS count FROM repeated GROUP BY 2
+UNION ALL SELECT 'clean_label_counts', CAST(label AS VARCHAR), count(*) FROM cleaned GROUP BY 2
+UNION ALL SELECT 'raw_source_counts', source, count(*) FROM repeated GROUP BY 2
+UNION ALL SELECT 'clean_source_counts', source, count(*) FROM cleaned GROUP BY 2
+UNION ALL SELECT 'headline_method_counts_raw', headline_method, count(*) FROM repeated GROUP BY 2""",
+)
+def dataset_profile_counts(spark, sf):
+    return P.profile_counts(*_raw_and_clean(spark, sf))
+
+
 @query(
     "class_distribution",
     sql=f"""WITH {_RAW_AND_CLEAN}

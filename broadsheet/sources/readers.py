@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from broadsheet.config import LABEL_COLUMNS, TEXT_COLUMNS, URL_COLUMNS
+from broadsheet.config import RoleNames
 from broadsheet.functions.text import strip
 
 
@@ -48,19 +48,17 @@ def pick_column(columns, candidates) -> str | None:
     return next((by_name[c] for c in candidates if c in by_name), None)
 
 
-def resolve_roles(columns) -> Roles:
+def resolve_roles(columns, names: RoleNames = RoleNames()) -> Roles:
     return Roles(
-        text=pick_column(columns, TEXT_COLUMNS),
-        label=pick_column(columns, LABEL_COLUMNS),
-        url=pick_column(columns, URL_COLUMNS),
+        text=pick_column(columns, names.text), label=pick_column(columns, names.label), url=pick_column(columns, names.url)
     )
 
 
-def with_roles(df: DataFrame, order: str, require_text: bool = False) -> DataFrame:
+def with_roles(df: DataFrame, order: str, require_text: bool = False, names: RoleNames = RoleNames()) -> DataFrame:
     """Project to ``(ord, raw_text, raw_label, url)``, null where a role is missing."""
-    roles = resolve_roles([c for c in df.columns if c != order])
+    roles = resolve_roles([c for c in df.columns if c != order], names)
     if require_text and roles.text is None:
-        raise CorpusError(f"no text column among {df.columns}; expected one of {TEXT_COLUMNS}")
+        raise CorpusError(f"no text column among {df.columns}; expected one of {names.text}")
 
     def role(name: str | None) -> F.Column:
         # backticks keep names with dots whole
@@ -102,13 +100,13 @@ def require_rows(df: DataFrame, message: str = "no usable rows") -> DataFrame:
     return df
 
 
-def require_text(df: DataFrame, allow_url_text: bool = False) -> DataFrame:
+def require_text(df: DataFrame, allow_url_text: bool = False, names: RoleNames = RoleNames()) -> DataFrame:
     """Raise unless a text column exists and has a non-blank value somewhere."""
     if allow_url_text:
         return df
-    name = resolve_roles(df.columns).text
+    name = resolve_roles(df.columns, names).text
     if name is None:
-        raise CorpusError(f"no text column among {df.columns}; expected one of {TEXT_COLUMNS}")
+        raise CorpusError(f"no text column among {df.columns}; expected one of {names.text}")
     require_rows(df.filter(non_blank(F.col(f"`{name}`"))).select(F.lit(1)), f"text column {name!r} is empty")
     return df
 

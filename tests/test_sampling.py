@@ -43,6 +43,45 @@ def test_split_narrows_in_several_passes(rows, monkeypatch):
     assert {r.k for r in split.test(rows).collect()} == brute(split.counts)
 
 
+@pytest.mark.parametrize("narrow, broadcast", [(False, 200_000), (True, 200_000), (True, 0)])
+def test_many_classes_split_as_few_do(spark, rows, monkeypatch, narrow, broadcast):
+    want = {r.k for r in S.fit_stratified_split(rows, "label", "k").test(rows).collect()}
+    monkeypatch.setattr(S, "DRIVER_CLASSES", 1)
+    monkeypatch.setattr(S, "BROADCAST_CLASSES", broadcast)
+    if narrow:
+        monkeypatch.setattr(S, "BOUNDARY_ROWS", 2)
+        monkeypatch.setattr(S, "PREFIX_DIGITS", 1)
+    split = S.fit_stratified_split(rows, "label", "k")
+    assert isinstance(split, S.ManyClassSplit) and {r.k for r in split.test(rows).collect()} == want
+    assert {r.k for r in split.train(rows).collect()} == set(range(1003)) - want
+    assert [r.split for r in split.transform(spark.createDataFrame([(5, 77)], "k long, label int")).collect()] == ["train"]
+
+
+def test_thousands_of_classes(spark):
+    sizes = {c: 1 + (c * 7919) % 5 for c in range(1500)}
+    pairs = [(c * 10 + i, c) for c, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(pairs, "k long, label long")
+    split = S.fit_stratified_split(df, "label", "k", 0.37, 5)
+    quota = S.allocate_test_rows(sizes, 0.37)
+    assert {r.c: r.test for r in split.sizes.collect()} == quota
+    order = sorted(pairs, key=lambda p: md5(f"5|{p[0]}"))
+    want, left = set(), dict(quota)
+    for k, c in order:
+        if left[c]:
+            left[c] -= 1
+            want.add(k)
+    assert {r.k for r in split.test(df).collect()} == want
+    with pytest.raises(S.CorpusError):
+        S.fit_stratified_split(df.withColumn("label", S.F.when(S.F.col("label") != 3, S.F.col("label"))), "label", "k")
+
+
+def test_ranks_on_two_levels(rows, monkeypatch):
+    want = sorted((r.draw, r.k) for r in S.sample_with_replacement(rows, "k", 0.5, 123).collect())
+    monkeypatch.setattr(S, "RANKED_ROWS", 1)
+    monkeypatch.setattr(S, "PREFIX_DIGITS", 1)
+    assert sorted((r.draw, r.k) for r in S.sample_with_replacement(rows, "k", 0.5, 123).collect()) == want
+
+
 def test_split_edges(rows):
     nothing = S.fit_stratified_split(rows.limit(0), "label", "k")
     assert nothing.test(rows).count() == 0

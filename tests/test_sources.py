@@ -73,8 +73,12 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
 def test_profile_maps_and_weights(spark):
     df = spark.createDataFrame([("a", 0), ("a", 0), (None, 1)], "m string, label int")
     assert P.count_map(df, "m").first()["m_counts"] == {"a": 2, "null": 1}
-    with pytest.raises(Exception, match="more than"):
-        P.count_map(spark.range(P.MAX_MAP_KEYS + 1), "id").collect()
+    many = spark.range(20_000).withColumns({"label": F.col("id"), "source": F.col("id") % 7, "headline_method": F.lit(None).cast("string")})
+    counts = P.profile_counts(many, many.filter("id < 5"))
+    assert {(r.name, r["count"]) for r in counts.groupBy("name").count().collect()} == {
+        ("raw_label_counts", 20_000), ("clean_label_counts", 5), ("raw_source_counts", 7), ("clean_source_counts", 5), ("headline_method_counts_raw", 1),
+    }
+    assert counts.filter("name = 'headline_method_counts_raw'").first()["key"] is None
     assert {r.label: r.weight for r in P.class_weights(df).collect()} == {0: 0.75, 1: 1.5}
 
 
@@ -85,3 +89,22 @@ def test_null_url_gives_way_to_the_column_named_url(spark):
         assert [r.url for r in R.with_roles(df, "id").orderBy("ord").collect()] == ["u1", "U2", ""]
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_roles_and_spellings_of_another_corpus(spark):
+    """Two other sites, columns and labels, without a change to the library."""
+    from broadsheet.config import CleaningOptions, RoleNames, SiteRule
+    from broadsheet.plans.cleaning import prepare_dataset
+
+    df = spark.createDataFrame(
+        [(1, "Rates rise again", "Blau", "https://blau.example/a"), (2, "Cup final tonight", "?", "https://rot.example/b"), (3, "No side at all", None, "https://x.example/c")],
+        "n long, Zeile string, Seite string, Adresse string",
+    )
+    options = CleaningOptions(
+        roles=RoleNames(text=("zeile",), label=("seite",), url=("adresse",)),
+        site_rules=(SiteRule("blau.example", "Blau", 5), SiteRule("rot.example", "Rot", 6)),
+        label_synonyms={5: ("blau",), 6: ("rot",)},
+    )
+    assert sorted((r.ord, r.label, r.text) for r in prepare_dataset(df, "n", options).collect()) == [(1, 5, "Rates rise again"), (2, 6, "Cup final tonight")]
+    with pytest.raises(R.CorpusError):
+        R.with_roles(df, "n", True)
