@@ -153,6 +153,7 @@ def test_train_and_evaluate_a_table(spark, samples):
     assert result.metadata["label_map"] == {"0": "FoxNews", "1": "NBC"}
     out = training.evaluate_table(table, "n", result.model)
     assert out["num_examples"] == 200 and out["accuracy"] == 1.0 and out["avg_infer_ms"] > 0
+    assert out["fixed_infer_s"] > 0 and out["marginal_infer_ms"] <= out["avg_infer_ms"] * 200 / 199
     with pytest.raises(CorpusError):
         training.train_from_table(table.select("n", "url"), "n")
     with pytest.raises(CorpusError):
