@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,10 @@ from broadsheet.llm.language_id import FOLDS, held_out
 MAX_EXAMPLES = 3000
 NEIGHBOURS = 15
 BLOCK = 64
-# Blocks opened before the first bound is known.
-FIRST_BLOCKS = 4
+# Postings read in the first round; examples left for each neighbour that are few enough to verify.
+FIRST_POSTINGS, FEW_LEFT = 4096, 4
+# Against rounding of sums in another order.
+SLACK = 1e-9
 # Weight of the base rate among the votes.
 PRIOR = 0.5
 BINS = 20
@@ -48,7 +51,9 @@ def words_of(text: str) -> list[str]:
 @dataclass(frozen=True)
 class ExampleIndex:
     """Words ``t`` have the entries ``first[t]`` to ``first[t + 1]``, one for each block that holds
-    them: its number, its greatest weight, and the postings ``opens[e]`` to ``opens[e + 1]``."""
+    them: its number, its greatest weight, and the postings ``opens[e]`` to ``opens[e + 1]``.
+    Example ``i`` has the words and weights ``starts[i]`` to ``starts[i + 1]`` of ``held`` and
+    ``held_weight``. ``top`` is a word's greatest weight anywhere."""
 
     terms: dict[str, int]
     scale: np.ndarray
@@ -60,6 +65,11 @@ class ExampleIndex:
     opens: np.ndarray
     example: np.ndarray
     weight: np.ndarray
+    held: np.ndarray
+    held_weight: np.ndarray
+    starts: np.ndarray
+    block_of: np.ndarray
+    top: np.ndarray
     base_rate: float
     calibrated: np.ndarray | None = None
 
@@ -74,9 +84,9 @@ def term_scale(rows: int, positive: int, n: np.ndarray, a: np.ndarray) -> np.nda
 
 def vector(terms: dict[str, int], scale: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Known words and weights of length 1; both empty if the text has none that weighs."""
-    counts = Counter(filter(None.__ne__, map(terms.get, words_of(text))))
-    found = np.fromiter(counts.keys(), np.int64, len(counts))
-    weight = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * scale[found]
+    known = [(i, n) for w, n in Counter(words_of(text)).items() if (i := terms.get(w)) is not None]
+    found, counts = (np.array(c, np.int64) for c in (zip(*known) if known else ((), ())))
+    weight = (1 + np.log(counts)) * scale[found]
     length = math.sqrt(weight @ weight)
     return (found, weight / length) if length > 0 else (np.empty(0, np.int64), np.empty(0))
 
@@ -88,31 +98,69 @@ def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(len(owner)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), owner
 
 
+def _cosines(index: ExampleIndex, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Whole cosines of some examples, from their own lists of words."""
+    at, owner = _spread(index.starts[examples], index.starts[examples + 1])
+    scratch = _scratch(len(index.terms))
+    scratch[terms] = weights
+    found = np.bincount(owner, scratch[index.held[at]] * index.held_weight[at], len(examples))
+    scratch[terms] = 0
+    return found
+
+
+@lru_cache(1)
+def _scratch(size: int) -> np.ndarray:
+    """A row of zeros, kept by the worker; whoever writes to it clears it."""
+    return np.zeros(size)
+
+
 def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1):
-    """``(examples, cosines)`` of the ``k`` nearest examples, nearest first; ties by number."""
+    """``(examples, cosines)`` of the ``k`` nearest examples, nearest first; ties by number.
+
+    Words are taken in rounds, those that can add most first. The greatest weights of the words
+    not yet taken bound what each block can still add; an example whose part and bound together
+    stay below the ``k``-th part is out, and a block without examples left is not read again. Few
+    examples left are verified by their own lists of words.
+    """
+    if not len(terms) or not len(index.ids):
+        return np.empty(0, np.int64), np.empty(0)
+    order = np.argsort(-weights * index.top[terms], kind="stable")
+    terms, weights = terms[order], weights[order]
     entries, owner = _spread(index.first[terms], index.first[terms + 1])
     blocks, each = index.block[entries], weights[owner]
-    bound = np.bincount(blocks, each * index.greatest[entries], -(-len(index.ids) // BLOCK))
-    found, score = np.empty(0, np.int64), np.empty(0)
-    opened = np.zeros(len(bound), bool)
-    least = 0.0
-    for wanted in (FIRST_BLOCKS, len(bound)):
-        ready = np.argsort(-bound, kind="stable")[:wanted]
-        ready = ready[~opened[ready] & (bound[ready] > 0) & (bound[ready] >= least - 1e-12)]
-        open_ = np.zeros(len(bound), bool)
-        open_[ready] = True
-        opened |= open_
-        use = open_[blocks]
-        postings, of = _spread(index.opens[entries[use]], index.opens[entries[use] + 1])
-        cosine = np.bincount(index.example[postings], each[use][of] * index.weight[postings], len(index.ids))
-        hit = np.flatnonzero(cosine > 0)
-        hit = hit[hit != but]
-        found, score = np.concatenate([found, hit]), np.concatenate([score, cosine[hit]])
-        order = np.lexsort((found, -score))[:k]
-        found, score = found[order], score[order]
-        if len(found) == k:
-            least = score[-1]
-    return found, score
+    bound = each * index.greatest[entries]
+    count = -(-len(index.ids) // BLOCK)
+    rest = np.bincount(blocks, bound, count)
+    # rounds of about twice as many postings each, cut between words
+    upto = np.cumsum(index.opens[entries + 1] - index.opens[entries])
+    ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(entries))
+    part = np.zeros(len(index.ids))
+    alive = np.ones(count, bool)
+    at, size, least = 0, FIRST_POSTINGS, 0.0
+    while True:
+        past = upto[at - 1] if at else 0
+        end = int(ends[min(np.searchsorted(upto[ends - 1], past + size), len(ends) - 1)])
+        now = slice(at, end)
+        use = alive[blocks[now]]
+        opened = entries[now][use]
+        postings, of = _spread(index.opens[opened], index.opens[opened + 1])
+        part += np.bincount(index.example[postings], each[now][use][of] * index.weight[postings], len(part))
+        rest -= np.bincount(blocks[now], bound[now], count)
+        at, size = end, size * 2
+        if but >= 0:
+            part[but] = 0
+        if len(part) > k:
+            least = max(least, np.partition(part, len(part) - k)[len(part) - k])
+        left = np.flatnonzero(part + rest[index.block_of] >= max(least - SLACK, 0))
+        if least > 0:
+            alive = np.bincount(left // BLOCK, minlength=count) > 0
+        if at == len(entries) or least > 0 and len(left) <= FEW_LEFT * k:
+            break
+    left = left[left != but]
+    score = part[left] if at == len(entries) else _cosines(index, left, terms, weights)
+    left, score = left[score > 0], score[score > 0]
+    best = np.lexsort((left, -score))[:k]
+    return left[best], score[best]
 
 
 def vote(index: ExampleIndex, examples: np.ndarray, cosines: np.ndarray) -> float:
@@ -191,10 +239,14 @@ def build_index(
     example, term, weight = example[order], term[order], weight[order]
     cell = term * (len(ids) // BLOCK + 1) + example // BLOCK
     starts = np.flatnonzero(np.diff(cell, prepend=-1))
+    by_example = np.argsort(example, kind="stable")
+    top = np.zeros(len(terms))
+    np.maximum.at(top, term, weight)
     return ExampleIndex(
         terms, scale, ids[by], label[by].astype(float), np.searchsorted(term[starts], np.arange(len(terms) + 1)),
         example[starts] // BLOCK, np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0),
-        np.append(starts, len(term)), example, weight, base_rate,
+        np.append(starts, len(term)), example.astype(np.int32), weight, term[by_example].astype(np.int32), weight[by_example],
+        np.searchsorted(example[by_example], np.arange(len(ids) + 1)), np.arange(len(ids)) // BLOCK, top, base_rate,
     )
 
 
@@ -236,15 +288,11 @@ def fit(labelled: DataFrame, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
 
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = sent.value
-        by_example = np.argsort(index.example, kind="stable")
-        entry_term = np.repeat(np.arange(len(index.terms)), np.diff(index.first))
-        term = np.repeat(entry_term, np.diff(index.opens))
-        starts = np.searchsorted(index.example[by_example], np.arange(len(index.ids) + 1))
         for batch in batches:
             votes = []
             for i in batch["id"].tolist():
-                own = by_example[starts[i] : starts[i + 1]]
-                votes.append(vote(index, *nearest(index, term[own], index.weight[own], NEIGHBOURS, but=i)))
+                own = slice(index.starts[i], index.starts[i + 1])
+                votes.append(vote(index, *nearest(index, index.held[own], index.held_weight[own], NEIGHBOURS, but=i)))
             label = index.label[batch["id"].to_numpy()].astype(int)
             yield pd.DataFrame({"bin": np.minimum((np.array(votes) * BINS).astype(int), BINS - 1), "label": label})
 
