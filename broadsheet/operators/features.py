@@ -109,6 +109,44 @@ def vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions())
     return vocabulary_of(term_totals(df, text, options, {"all": F.lit(True)}), "all", n_docs.scalar(), options)
 
 
+# Cells of the counting sketch; each is two numbers. Heavy ones, so at most all, are broadcast.
+SKETCH_CELLS = 1 << 18
+
+
+def pruned_vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> DataFrame:
+    """``vocabulary``, for corpora with many more terms than are kept.
+
+    A first pass adds terms up in hashed cells: a cell's sums bound those of each of its terms, and
+    cells are all that it shuffles. The second counts exactly, and shuffles only, terms of cells that
+    reach ``min_df`` and a number of occurrences. If enough counted terms reach that number, none
+    outside the cells can be among the most frequent; otherwise the number is quartered.
+    """
+    rows = materialise(with_words(df.select(text), text, options), "words")
+    n_docs = rows.count()
+    cell = F.pmod(F.xxhash64("term"), F.lit(SKETCH_CELLS))
+    terms = document_terms(rows, text, options).filter(F.col("term").isNotNull()).withColumn("cell", cell)
+    cells = materialise(terms.groupBy("cell").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")), "cells")
+    heavy = cells.filter(F.col("df") >= options.min_df)
+    least, limit = 1, options.max_features
+    if limit is not None:
+        # as many cells as may hold the terms wanted, and their like
+        upto = F.sum("cells").over(Window.orderBy(F.desc("tf")))
+        sizes = heavy.groupBy("tf").agg(F.count(F.lit(1)).alias("cells")).withColumn("upto", upto)
+        least = sizes.filter(F.col("upto") >= 2 * limit).agg(F.max("tf")).first()[0] or 1
+    while True:
+        wanted = heavy.filter(F.col("tf") >= least).select("cell")
+        exact = terms.join(F.broadcast(wanted), "cell", "left_semi").groupBy("term").agg(
+            F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")
+        )
+        exact = exact.filter((F.col("df") >= options.min_df) & (F.col("df") <= F.lit(options.max_df) * n_docs))
+        if limit is None:
+            return exact
+        counted = materialise(exact, "counted_terms")
+        if least <= 1 or counted.filter(F.col("tf") >= least).limit(limit).count() == limit:
+            return _most_frequent(counted, limit)
+        least //= 4
+
+
 def with_idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the smoothed inverse document frequency ``ln((1+N)/(1+df)) + 1``."""
     n_docs = docs.agg(F.count(F.lit(1)))

@@ -57,6 +57,12 @@ def vocabulary(spark, sf):
     return X.vocabulary(_documents(spark, sf), "text")
 
 
+@query("vocabulary_pruned", sql=f"WITH {_VOCAB} SELECT term, tf, df FROM vocab")
+def vocabulary_pruned(spark, sf):
+    """The same vocabulary from a sketch and an exact count of what it leaves."""
+    return X.pruned_vocabulary(_documents(spark, sf), "text")
+
+
 @query("idf", sql=f"WITH {_VOCAB} SELECT term, round({_IDF}, 6) AS idf FROM vocab")
 def idf(spark, sf):
     documents = _documents(spark, sf)

@@ -55,6 +55,18 @@ def test_vocabulary_against_brute_force(spark):
         assert {(r.term, r.tf, r.df) for r in got} == {(t, tf[t], dfreq[t]) for t in want}
 
 
+@pytest.mark.parametrize("cells", [4, 64, 1 << 18])
+def test_pruned_vocabulary_is_the_same(spark, monkeypatch, cells):
+    monkeypatch.setattr(X, "SKETCH_CELLS", cells)
+    docs = [f"w{i % 7} w{i % 5} w{i % 3} w{i % 3} common rare{i}" for i in range(60)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(docs)), "id long, text string")
+    for k in (3, 25, None):
+        options = X.TfidfOptions(max_features=k)
+        want = sorted(map(tuple, X.vocabulary(df, "text", options).collect()))
+        assert sorted(map(tuple, X.pruned_vocabulary(df, "text", options).select("term", "tf", "df").collect())) == want
+    assert X.pruned_vocabulary(df.limit(0), "text").count() == 0
+
+
 def test_tfidf_formulas(spark):
     df = spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, "bb cc"), (4, "..")], "id long, text string")
     options = X.TfidfOptions(ngram_max=1, min_df=1, max_df=1.0)
