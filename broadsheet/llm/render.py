@@ -10,6 +10,7 @@ dialogs, and what stands in for media: ``object``, ``audio``, ``video``, ``canva
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from itertools import zip_longest
@@ -99,10 +100,12 @@ def parse(html: str) -> Node:
     root = Node("#page")
     stack = [root]
     foreign = 0  # drawings and formulas that are open
+    open_ = Counter()  # elements on the stack by tag: a tag that is not open is not looked for
 
     def close(index: int) -> None:
         nonlocal foreign
         foreign -= sum(n.tag in FOREIGN for n in stack[index:])
+        open_.subtract(n.tag for n in stack[index:])
         del stack[index:]
 
     at, end = 0, len(html)
@@ -114,7 +117,7 @@ def parse(html: str) -> Node:
             tag = closing.lower()
             if tag == "br":
                 stack[-1].children.append(Node("br"))
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_[tag] else ():
                 if stack[i].tag == tag:
                     close(i)
                     break
@@ -129,7 +132,7 @@ def parse(html: str) -> Node:
             if tag in IMPLIED_ENDS:
                 ended, limits = IMPLIED_ENDS[tag]
                 lowest = None
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1, 0, -1) if any(open_[t] for t in ended) else ():
                     if stack[i].tag in limits:
                         break
                     if stack[i].tag in ended:
@@ -137,7 +140,7 @@ def parse(html: str) -> Node:
                 if lowest is not None:
                     close(lowest)
             if tag in CLOSES_P:
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1, 0, -1) if open_["p"] else ():
                     if stack[i].tag == "p":
                         close(i)
                         break
@@ -146,6 +149,7 @@ def parse(html: str) -> Node:
             if tag in CELLS and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
                 stack[-1].children.append(row := Node("tr"))
                 stack.append(row)
+                open_["tr"] += 1
             node = Node(tag, attributes)
             stack[-1].children.append(node)
             if tag in VOID or foreign and attributes.endswith("/"):
@@ -158,6 +162,7 @@ def parse(html: str) -> Node:
             elif not (tag in FOREIGN and attributes.endswith("/")):  # a slash does not close an HTML element
                 foreign += tag in FOREIGN
                 stack.append(node)
+                open_[tag] += 1
         elif not match[0].startswith(("<!", "<?")):
             if stack[-1].tag == "head" and not match[0].isspace():
                 close(len(stack) - 1)
@@ -210,22 +215,54 @@ class _Writer:
             self.line.append(line)
 
 
-def _aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
-    """Rows of ``(text, columns)`` as lines; a column is as wide as its widest cell."""
-    width: dict[int, int] = {}
+# A cell that is longer runs over its column instead of widening it: padding stays in proportion.
+WIDEST = 200
+# The most columns and rows that HTML lets a cell span.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+
+
+def _span(node: Node, name: str, most: int) -> int:
+    """Columns or rows of a cell; nought rows are all that are left."""
+    value = (node.attribute(name) or "1").strip()
+    number = int(value[:9]) if value.isascii() and value.isdigit() else 1
+    return min(number or (most if name == "rowspan" else 1), most)
+
+
+def _placed(rows: list[list[tuple[str, int, int]]]) -> Iterator[list[tuple[int, str, int]]]:
+    """``(column, text, columns)`` of each row's cells, beside the cells that reach down into it."""
+    busy: dict[int, int] = {}
     for row in rows:
-        column = 0
-        for text, span in row:
-            if span == 1:
-                width[column] = max(width.get(column, 0), *map(len, text.split("\n")))
+        placed, column, deeper = [], 0, {}
+        for text, span, deep in row:
+            while column in busy:
+                column += 1
+            placed.append((column, text, span))
+            if deep > 1:
+                deeper |= dict.fromkeys(range(column, column + span), deep - 1)
             column += span
+        busy = {c: n - 1 for c, n in busy.items() if n > 1} | deeper
+        if placed:
+            yield placed
+
+
+def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Rows of ``(text, columns, rows)`` as lines; a column is as wide as its widest cell of up
+    to ``WIDEST`` characters."""
+    grid = list(_placed(rows))
+    width: dict[int, int] = {}
+    for row in grid:
+        for column, text, span in row:
+            if span == 1:
+                longest = max(map(len, text.split("\n")))
+                width[column] = max(width.get(column, 0), longest if longest <= WIDEST else 0)
     lines = []
-    for row in rows:
-        cells, column = [], 0
-        for text, span in row:
+    for row in grid:
+        cells, at = [], 0
+        for column, text, span in row:
+            cells += [([""], width.get(c, 0)) for c in range(at, column)]
             room = sum(width.get(column + k, 0) for k in range(span)) + 3 * (span - 1)
-            cells.append((text.split("\n"), room))
-            column += span
+            cells.append((text.split("\n"), min(room, WIDEST)))
+            at = column + span
         for parts in zip_longest(*(c[0] for c in cells), fillvalue=""):
             lines.append(" | ".join(p.ljust(c[1]) for p, c in zip(parts, cells, strict=True)).rstrip())
     return lines
@@ -292,8 +329,7 @@ def render(html: str) -> str:
         if tag in CELLS and tables:
             out.end_line()
             writers.pop()
-            span = node.attribute("colspan") or "1"
-            cell = ("\n".join(out.lines), min(max(int(span), 1), 100) if span.isdigit() and len(span) < 5 else 1)
+            cell = ("\n".join(out.lines), _span(node, "colspan", MOST_COLUMNS), _span(node, "rowspan", MOST_ROWS))
             if not tables[-1]:
                 tables[-1].append([])
             tables[-1][-1].append(cell)
@@ -305,7 +341,7 @@ def render(html: str) -> str:
         elif tag in OWN_LINE:
             out.end_line()
         if tag == "table":
-            for line in _aligned([r for r in tables.pop() if r]):
+            for line in _aligned(tables.pop()):
                 out.put(line)
             out.blank = 1
         elif tag in ("ul", "ol", "menu", "dir"):

