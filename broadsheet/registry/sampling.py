@@ -32,14 +32,12 @@ def stratified_split_text(spark, sf):
 
 @query(
     "stratified_split_many",
-    sql=f"SELECT l_orderkey * 8 + l_linenumber AS line, part AS class, side AS split FROM {sql.split('(SELECT *, l_orderkey * 8 + l_linenumber AS line, l_partkey AS part FROM lineitem)', 'part', 'line', 0.3, 9)}",
+    sql=f"SELECT o_orderkey, o_custkey, side AS split FROM {sql.split('orders', 'o_custkey', 'o_orderkey', 0.3, 9)}",
 )
 def stratified_split_many(spark, sf):
-    """A class for each part: thousands of classes, none of which comes to the driver."""
-    rows = table(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("line"), F.col("l_partkey").alias("class")
-    )
-    return S.fit_stratified_split(rows, "class", "line", 0.3, 9).transform(rows)
+    """A class for each customer: thousands of classes, none of which comes to the driver."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return S.fit_stratified_split(rows, "o_custkey", "o_orderkey", 0.3, 9).transform(rows)
 
 
 def _draws(rows: str, key: str, fraction: float = 0.5, seed: int = 123) -> str:
