@@ -35,8 +35,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 # Postings read in the first round; examples left for each neighbour that are few enough to verify.
 FIRST_POSTINGS, FEW_LEFT = 4096, 4
-# Against rounding of sums in another order.
-SLACK = 1e-9
+# Against rounding: postings keep weights in single precision, examples' own lists in double.
+SLACK = 1e-5
 # Weight of the base rate among the votes.
 PRIOR = 0.5
 BINS = 20
@@ -157,7 +157,9 @@ def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int,
         if at == len(entries) or least > 0 and len(left) <= FEW_LEFT * k:
             break
     left = left[left != but]
-    score = part[left] if at == len(entries) else _cosines(index, left, terms, weights)
+    if at == len(entries) and len(left) > k:  # parts are rounded cosines here
+        left = left[part[left] >= least - SLACK]
+    score = _cosines(index, left, terms, weights)
     left, score = left[score > 0], score[score > 0]
     best = np.lexsort((left, -score))[:k]
     return left[best], score[best]
@@ -244,8 +246,8 @@ def build_index(
     np.maximum.at(top, term, weight)
     return ExampleIndex(
         terms, scale, ids[by], label[by].astype(float), np.searchsorted(term[starts], np.arange(len(terms) + 1)),
-        example[starts] // BLOCK, np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0),
-        np.append(starts, len(term)), example.astype(np.int32), weight, term[by_example].astype(np.int32), weight[by_example],
+        (example[starts] // BLOCK).astype(np.int32), (np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0)).astype(np.float32),
+        np.append(starts, len(term)).astype(np.int32), example.astype(np.int32), weight.astype(np.float32), term[by_example].astype(np.int32), weight[by_example],
         np.searchsorted(example[by_example], np.arange(len(ids) + 1)), np.arange(len(ids)) // BLOCK, top, base_rate,
     )
 
@@ -260,11 +262,14 @@ def fit(labelled: DataFrame, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
     rows = labelled.filter("label is not null and doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (F.col("label") == 1).cast("int").alias("label")
     )
-    rows = shared_table(rows, "labelled_texts")
+    rows = shared_table(rows.withColumn("example", F.monotonically_increasing_id()), "labelled_texts")
     total, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     base_rate = (positive + 1) / (total + 2)
-    sides = [rows.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(max_examples) for y in (0, 1)]
-    chosen = shared_table(sides[0].unionByName(sides[1]).withColumn("example", F.monotonically_increasing_id()), "examples")
+    # the first of each label by hash; texts follow once the few rows are known
+    order = rows.select("example", "label", F.xxhash64("doc_id", "text").alias("hash"))
+    sides = [order.filter(F.col("label") == y).orderBy("hash", "example").limit(max_examples) for y in (0, 1)]
+    first = shared_table(sides[0].unionByName(sides[1]).select("example"), "chosen")
+    chosen = shared_table(rows.join(F.broadcast(first), "example", "left_semi"), "examples")
     words = shared_table(chosen.select("example", "text").mapInPandas(_words, "example long, term string, tf long"), "example_words")
     counts = rows.mapInPandas(_term_counts, "term string, n long, a long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
     known = counts.join(words.select("term").distinct(), "term", "left_semi")
