@@ -5,6 +5,7 @@ from __future__ import annotations
 import html.entities
 import re
 from functools import cache, reduce
+from zlib import crc32
 
 from pyspark.sql import Column, functions as F
 
@@ -41,9 +42,17 @@ def _literal(value: str) -> str:
 
 
 def _lookup(entries: dict, key: str) -> str:
-    """SQL for the value of a key in a constant table, null when missing."""
-    packed = "\x01".join(f"{k}\x02{v}" for k, v in entries.items())
-    return f"try_element_at(str_to_map({_literal(packed)}, '\x01', '\x02'), {key})"
+    """SQL for the value of a key in a constant table, null when missing.
+
+    The table is an array of cells by checksum, folded to a literal: one look-up reads one cell.
+    """
+    size = len(entries)
+    cells: list[list[str]] = [[] for _ in range(size)]
+    for k, v in entries.items():
+        cells[crc32(str(k).encode()) % size].append(f"{k}\x02{v}")
+    table = f"split({_literal('\x03'.join('\x01'.join(c) for c in cells))}, '\x03', -1)"
+    cell = f"element_at({table}, int(crc32({key}) % {size}) + 1)"
+    return f"try_element_at(str_to_map({cell}, '\x01', '\x02'), {key})"
 
 
 def _let(name: str, value: str, body: str) -> str:
