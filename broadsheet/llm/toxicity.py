@@ -252,24 +252,34 @@ def build_index(
     )
 
 
-def fit(labelled: DataFrame, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
-    """Index of ``labelled(doc_id, text, label)``; rows with a null label or id teach nothing.
+def _examples(texts: DataFrame, first: DataFrame) -> DataFrame:
+    """The rows ``first(doc_id, hash, label)``, few enough to broadcast, with their texts and numbers; repeated rows have one each."""
+    listed = first.repartition(1).sortWithinPartitions("hash", "doc_id", "label")
+    listed = shared_table(listed.select(F.monotonically_increasing_id().alias("example"), "*"), "chosen")
+    wanted = F.broadcast(listed.select("doc_id", "hash").distinct())
+    texts = texts.select("doc_id", "hash", "text").join(wanted, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
+    return shared_table(listed.join(texts, ["doc_id", "hash"]), "examples")
+
+
+def fit(labelled: DataFrame, labels: DataFrame | None = None, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
+    """Index of ``labelled(doc_id, text, label)``, or of ``labelled(doc_id, text)`` and ``labels(doc_id,
+    label)``, which moves texts once only; rows with a null label or id teach nothing.
 
     What comes to the driver are the words of at most ``2 * max_examples`` rows. Repeated rows
     are examples of their own; without rows the index is empty and every score the base rate.
     """
     spark = labelled.sparkSession
-    rows = labelled.filter("label is not null and doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), (F.col("label") == 1).cast("int").alias("label")
-    )
-    rows = shared_table(rows.withColumn("example", F.monotonically_increasing_id()), "labelled_texts")
-    total, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    # texts are hashed before they meet labels, so that choosing examples moves no text
+    texts = labelled.filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", text_of())
+    texts = texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash"), *(["label"] if labels is None else []))
+    rows = texts if labels is None else texts.join(labels.select("doc_id", "label"), "doc_id")
+    rows = rows.filter("label is not null").withColumn("label", (F.col("label") == 1).cast("int"))
+    order = shared_table(rows.select("doc_id", "label", "hash"), "labelled_rows")
+    total, positive = order.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     base_rate = (positive + 1) / (total + 2)
-    # the first of each label by hash; texts follow once the few rows are known
-    order = rows.select("example", "label", F.xxhash64("doc_id", "text").alias("hash"))
-    sides = [order.filter(F.col("label") == y).orderBy("hash", "example").limit(max_examples) for y in (0, 1)]
-    first = shared_table(sides[0].unionByName(sides[1]).select("example"), "chosen")
-    chosen = shared_table(rows.join(F.broadcast(first), "example", "left_semi"), "examples")
+    # the first of each label by hash
+    sides = [order.filter(F.col("label") == y).orderBy("hash", "doc_id").limit(max_examples) for y in (0, 1)]
+    chosen = _examples(texts, sides[0].unionByName(sides[1]))
     words = shared_table(chosen.select("example", "text").mapInPandas(_words, "example long, term string, tf long"), "example_words")
     counts = rows.mapInPandas(_term_counts, "term string, n long, a long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
     known = counts.join(words.select("term").distinct(), "term", "left_semi")
@@ -334,8 +344,7 @@ def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Da
     is its largest, and only ids outside the held-out fold teach."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     known = known.filter(~held_out(folds=folds))
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    scored = score_documents(docs.select("doc_id", "text"), fit(labelled))
+    scored = score_documents(docs.select("doc_id", "text"), fit(docs, known))
     return scored.select(
         "doc_id", held_out(folds=folds).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
     )
