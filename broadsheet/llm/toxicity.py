@@ -21,10 +21,12 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from broadsheet.llm.common import shared_table, text_of
@@ -35,6 +37,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 # Postings read in the first round; examples left for each neighbour that are few enough to verify.
 FIRST_POSTINGS, FEW_LEFT = 4096, 4
+# Blocks from which on a word's block bounds are kept as a whole row.
+DENSE_BLOCKS = 16
 # Against rounding: postings keep weights in single precision, examples' own lists in double.
 SLACK = 1e-5
 # Weight of the base rate among the votes.
@@ -53,7 +57,8 @@ class ExampleIndex:
     """Words ``t`` have the entries ``first[t]`` to ``first[t + 1]``, one for each block that holds
     them: its number, its greatest weight, and the postings ``opens[e]`` to ``opens[e + 1]``.
     Example ``i`` has the words and weights ``starts[i]`` to ``starts[i + 1]`` of ``held`` and
-    ``held_weight``. ``top`` is a word's greatest weight anywhere."""
+    ``held_weight``. ``top`` is a word's greatest weight anywhere. Words in many blocks also have
+    their greatest weights as a row of ``dense``, a column for each block."""
 
     terms: dict[str, int]
     scale: np.ndarray
@@ -70,6 +75,8 @@ class ExampleIndex:
     starts: np.ndarray
     block_of: np.ndarray
     top: np.ndarray
+    dense_row: np.ndarray
+    dense: np.ndarray
     base_rate: float
     calibrated: np.ndarray | None = None
 
@@ -84,26 +91,30 @@ def term_scale(rows: int, positive: int, n: np.ndarray, a: np.ndarray) -> np.nda
 
 def vector(terms: dict[str, int], scale: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Known words and weights of length 1; both empty if the text has none that weighs."""
-    known = [(i, n) for w, n in Counter(words_of(text)).items() if (i := terms.get(w)) is not None]
-    found, counts = (np.array(c, np.int64) for c in (zip(*known) if known else ((), ())))
+    counted = Counter(words_of(text))
+    found = np.fromiter(map(terms.get, counted, repeat(-1)), np.int64, len(counted))
+    counts = np.fromiter(counted.values(), np.int64, len(counted))
+    known = found >= 0
+    found, counts = found[known], counts[known]
     weight = (1 + np.log(counts)) * scale[found]
     length = math.sqrt(weight @ weight)
     return (found, weight / length) if length > 0 else (np.empty(0, np.int64), np.empty(0))
 
 
 def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of some ranges, and which range each is of."""
+    """All numbers of some ranges, and the size of each range."""
     sizes = ends - starts
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return np.arange(len(owner)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), owner
+    upto = np.cumsum(sizes)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(starts - (upto - sizes), sizes), sizes
 
 
 def _cosines(index: ExampleIndex, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Whole cosines of some examples, from their own lists of words."""
-    at, owner = _spread(index.starts[examples], index.starts[examples + 1])
     scratch = _scratch(len(index.terms))
     scratch[terms] = weights
-    found = np.bincount(owner, scratch[index.held[at]] * index.held_weight[at], len(examples))
+    found = np.empty(len(examples))
+    for i, (start, end) in enumerate(zip(index.starts[examples].tolist(), index.starts[examples + 1].tolist(), strict=True)):
+        found[i] = scratch.take(index.held[start:end]) @ index.held_weight[start:end]
     scratch[terms] = 0
     return found
 
@@ -126,26 +137,28 @@ def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int,
         return np.empty(0, np.int64), np.empty(0)
     order = np.argsort(-weights * index.top[terms], kind="stable")
     terms, weights = terms[order], weights[order]
-    entries, owner = _spread(index.first[terms], index.first[terms + 1])
-    blocks, each = index.block[entries], weights[owner]
-    bound = each * index.greatest[entries]
     count = -(-len(index.ids) // BLOCK)
-    rest = np.bincount(blocks, bound, count)
+    row = index.dense_row[terms]
+    rest = weights[row >= 0] @ index.dense[row[row >= 0]]
+    few = terms[row < 0]
+    entries, sizes = _spread(index.first[few], index.first[few + 1])
+    rest += np.bincount(index.block[entries], np.repeat(weights[row < 0], sizes) * index.greatest[entries], count)
     # rounds of about twice as many postings each, cut between words
-    upto = np.cumsum(index.opens[entries + 1] - index.opens[entries])
-    ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(entries))
+    upto = np.cumsum(index.opens[index.first[terms + 1]] - index.opens[index.first[terms]], dtype=np.int64)
     part = np.zeros(len(index.ids))
     alive = np.ones(count, bool)
     at, size, least = 0, FIRST_POSTINGS, 0.0
     while True:
         past = upto[at - 1] if at else 0
-        end = int(ends[min(np.searchsorted(upto[ends - 1], past + size), len(ends) - 1)])
-        now = slice(at, end)
-        use = alive[blocks[now]]
-        opened = entries[now][use]
-        postings, of = _spread(index.opens[opened], index.opens[opened + 1])
-        part += np.bincount(index.example[postings], each[now][use][of] * index.weight[postings], len(part))
-        rest -= np.bincount(blocks[now], bound[now], count)
+        end = min(int(np.searchsorted(upto, past + size)) + 1, len(terms))
+        entries, sizes = _spread(index.first[terms[at:end]], index.first[terms[at:end] + 1])
+        blocks, each = index.block[entries], np.repeat(weights[at:end], sizes)
+        rest -= np.bincount(blocks, each * index.greatest[entries], count)
+        if not alive.all():
+            use = alive[blocks]
+            entries, each = entries[use], each[use]
+        postings, many = _spread(index.opens[entries], index.opens[entries + 1])
+        part += np.bincount(index.example[postings], np.repeat(each, many) * index.weight[postings], len(part))
         at, size = end, size * 2
         if but >= 0:
             part[but] = 0
@@ -154,10 +167,10 @@ def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int,
         left = np.flatnonzero(part + rest[index.block_of] >= max(least - SLACK, 0))
         if least > 0:
             alive = np.bincount(left // BLOCK, minlength=count) > 0
-        if at == len(entries) or least > 0 and len(left) <= FEW_LEFT * k:
+        if at == len(terms) or least > 0 and len(left) <= FEW_LEFT * k:
             break
     left = left[left != but]
-    if at == len(entries) and len(left) > k:  # parts are rounded cosines here
+    if at == len(terms) and len(left) > k:  # parts are rounded cosines here
         left = left[part[left] >= least - SLACK]
     score = _cosines(index, left, terms, weights)
     left, score = left[score > 0], score[score > 0]
@@ -193,16 +206,37 @@ def _rising(rates: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(n, rate) for rate, _, n in pools])
 
 
-def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        total, positive = Counter(), Counter()
-        for text, label in zip(batch["text"], batch["label"], strict=True):
-            found = set(words_of(text))
-            total.update(found)
-            if label:
-                positive.update(found)
-        terms = list(total)
-        yield pd.DataFrame({"term": terms, "n": [total[t] for t in terms], "a": [positive[t] for t in terms]})
+def _known_terms(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
+    """``texts`` with the numbers of each text's known words in place of the text."""
+    kept = [c for c in texts.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = vocabulary.value
+        for batch in batches:
+            found = [np.array([t for w in set(words_of(x.as_py())) if (t := terms.get(w)) is not None], np.int32) for x in batch.column("text")]
+            held = pa.array([np.sort(f).tobytes() for f in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), held], names=[*kept, "held"])
+
+    return texts.mapInArrow(run, texts.select(kept).schema.add("held", "binary"))
+
+
+def _term_counts(rows: DataFrame, size: int) -> DataFrame:
+    """``(term, n, a)``: of ``rows(label, held)``, how many hold a word, and how many of those are positive."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, positive = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for batch in batches:
+            for held, label in zip(batch.column("held"), batch.column("label"), strict=True):
+                terms = np.frombuffer(held.as_py(), np.int32)
+                total[terms] += 1
+                if label.as_py():
+                    positive[terms] += 1
+        found = np.flatnonzero(total)
+        columns = (found.astype(np.int32), total[found], positive[found])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["term", "n", "a"])
+
+    counts = rows.select("label", "held").mapInArrow(run, "term int, n long, a long")
+    return counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -244,20 +278,28 @@ def build_index(
     by_example = np.argsort(example, kind="stable")
     top = np.zeros(len(terms))
     np.maximum.at(top, term, weight)
+    first = np.searchsorted(term[starts], np.arange(len(terms) + 1))
+    block, greatest = example[starts] // BLOCK, np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0)
+    many = np.flatnonzero(np.diff(first) >= DENSE_BLOCKS)
+    dense_row = np.full(len(terms), -1, np.int32)
+    dense_row[many] = np.arange(len(many))
+    row = dense_row[term[starts]]
+    dense = np.zeros((len(many), -(-len(ids) // BLOCK)), np.float32)
+    dense[row[row >= 0], block[row >= 0]] = greatest[row >= 0]
     return ExampleIndex(
-        terms, scale, ids[by], label[by].astype(float), np.searchsorted(term[starts], np.arange(len(terms) + 1)),
-        (example[starts] // BLOCK).astype(np.int32), (np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0)).astype(np.float32),
+        terms, scale, ids[by], label[by].astype(float), first, block.astype(np.int32), greatest.astype(np.float32),
         np.append(starts, len(term)).astype(np.int32), example.astype(np.int32), weight.astype(np.float32), term[by_example].astype(np.int32), weight[by_example],
-        np.searchsorted(example[by_example], np.arange(len(ids) + 1)), np.arange(len(ids)) // BLOCK, top, base_rate,
+        np.searchsorted(example[by_example], np.arange(len(ids) + 1)), np.arange(len(ids)) // BLOCK, top, dense_row, dense, base_rate,
     )
 
 
 def _examples(texts: DataFrame, first: DataFrame) -> DataFrame:
-    """The rows ``first(doc_id, hash, label)``, few enough to broadcast, with their texts and numbers; repeated rows have one each."""
+    """The rows ``first(doc_id, hash, label)``, few enough to broadcast, with their texts and a number
+    each, repeated rows too."""
     listed = first.repartition(1).sortWithinPartitions("hash", "doc_id", "label")
     listed = shared_table(listed.select(F.monotonically_increasing_id().alias("example"), "*"), "chosen")
     wanted = F.broadcast(listed.select("doc_id", "hash").distinct())
-    texts = texts.select("doc_id", "hash", "text").join(wanted, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
+    texts = texts.join(wanted, ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
     return shared_table(listed.join(texts, ["doc_id", "hash"]), "examples")
 
 
@@ -272,28 +314,36 @@ def fit(labelled: DataFrame, labels: DataFrame | None = None, max_examples: int
     # texts are hashed before they meet labels, so that choosing examples moves no text
     texts = labelled.filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", text_of())
     texts = texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash"), *(["label"] if labels is None else []))
-    rows = texts if labels is None else texts.join(labels.select("doc_id", "label"), "doc_id")
-    rows = rows.filter("label is not null").withColumn("label", (F.col("label") == 1).cast("int"))
-    order = shared_table(rows.select("doc_id", "label", "hash"), "labelled_rows")
+
+    def with_labels(some: DataFrame) -> DataFrame:
+        # labels grow with the documents, so they are never broadcast
+        met = some if labels is None else some.join(labels.select("doc_id", "label").hint("merge"), "doc_id")
+        return met.filter("label is not null").withColumn("label", (F.col("label") == 1).cast("int"))
+
+    order = shared_table(with_labels(texts.drop("text")).select("doc_id", "label", "hash"), "labelled_rows")
     total, positive = order.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     base_rate = (positive + 1) / (total + 2)
     # the first of each label by hash
     sides = [order.filter(F.col("label") == y).orderBy("hash", "doc_id").limit(max_examples) for y in (0, 1)]
-    chosen = _examples(texts, sides[0].unionByName(sides[1]))
+    chosen = _examples(texts.select("doc_id", "hash", "text"), sides[0].unionByName(sides[1]))
     words = shared_table(chosen.select("example", "text").mapInPandas(_words, "example long, term string, tf long"), "example_words")
-    counts = rows.mapInPandas(_term_counts, "term string, n long, a long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
-    known = counts.join(words.select("term").distinct(), "term", "left_semi")
-    numbered = known.orderBy("term").toArrow().to_pandas()
-    terms = {t: i for i, t in enumerate(numbered["term"])}
-    scale = term_scale(total, positive, numbered["n"].to_numpy(float), numbered["a"].to_numpy(float))
+    vocabulary = words.select("term").distinct().repartition(1).sortWithinPartitions("term")
+    vocabulary = shared_table(vocabulary.select("term", F.monotonically_increasing_id().cast("int").alias("number")), "vocabulary")
+    numbered = vocabulary.orderBy("number").toArrow()
+    terms = dict(zip(numbered.column("term").to_pylist(), range(numbered.num_rows), strict=True))
+    sent = spark.sparkContext.broadcast(terms)
+    held = with_labels(_known_terms(texts.drop("hash"), sent))
+    counts = _term_counts(held, len(terms)).orderBy("term").toArrow()
+    sent.destroy()
+    n, a = (counts.column(c).to_numpy().astype(float) for c in ("n", "a"))
     examples = chosen.select("example", "doc_id", "label").orderBy("example").toArrow().to_pandas()
-    listed = words.toArrow().to_pandas()
+    listed = words.join(F.broadcast(vocabulary), "term").select("example", "number", F.col("tf").cast("int").alias("tf")).toArrow()
     index = build_index(
-        terms, scale, examples["doc_id"].to_numpy(), examples["label"].to_numpy(),
-        np.searchsorted(examples["example"].to_numpy(), listed["example"].to_numpy()),
-        listed["term"].map(terms).to_numpy(np.int64), listed["tf"].to_numpy(float), base_rate,
+        terms, term_scale(total, positive, n, a), examples["doc_id"].to_numpy(), examples["label"].to_numpy(),
+        np.searchsorted(examples["example"].to_numpy(), listed.column("example").to_numpy()),
+        listed.column("number").to_numpy(), listed.column("tf").to_numpy().astype(float), base_rate,
     )
-    del listed, numbered
+    del listed, numbered, counts
     if not len(index.ids):
         return index
     # calibration: every example's vote without itself, labels weighted as among all rows
