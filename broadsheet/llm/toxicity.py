@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
 from itertools import repeat
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from broadsheet.llm.common import shared_table, text_of
+from broadsheet.llm.common import release, shared_table, text_of
 from broadsheet.llm.language_id import FOLDS, held_out
 
 MAX_EXAMPLES = 3000
@@ -95,7 +95,11 @@ def vector(terms: dict[str, int], scale: np.ndarray, text: str) -> tuple[np.ndar
     found = np.fromiter(map(terms.get, counted, repeat(-1)), np.int64, len(counted))
     counts = np.fromiter(counted.values(), np.int64, len(counted))
     known = found >= 0
-    found, counts = found[known], counts[known]
+    return weighted(scale, found[known], counts[known])
+
+
+def weighted(scale: np.ndarray, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words ``found`` that occur ``counts`` times, as a vector of length 1."""
     weight = (1 + np.log(counts)) * scale[found]
     length = math.sqrt(weight @ weight)
     return (found, weight / length) if length > 0 else (np.empty(0, np.int64), np.empty(0))
@@ -110,7 +114,7 @@ def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _cosines(index: ExampleIndex, examples: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Whole cosines of some examples, from their own lists of words."""
-    scratch = _scratch(len(index.terms))
+    scratch = _scratch(len(index.scale))
     scratch[terms] = weights
     found = np.empty(len(examples))
     for i, (start, end) in enumerate(zip(index.starts[examples].tolist(), index.starts[examples + 1].tolist(), strict=True)):
@@ -186,7 +190,10 @@ def vote(index: ExampleIndex, examples: np.ndarray, cosines: np.ndarray) -> floa
 
 def score_text(index: ExampleIndex, text: str) -> tuple[float, list[int]]:
     """Calibrated score, and the ids of the three nearest examples."""
-    terms, weights = vector(index.terms, index.scale, text)
+    return score_vector(index, *vector(index.terms, index.scale, text))
+
+
+def score_vector(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
     examples, cosines = nearest(index, terms, weights, NEIGHBOURS)
     raw = vote(index, examples, cosines)
     centres = (np.arange(BINS) + 0.5) / BINS
@@ -207,17 +214,28 @@ def _rising(rates: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def _known_terms(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
-    """``texts`` with the numbers of each text's known words in place of the text."""
+    """``texts`` with each text's known words in place of the text: ``held``, the steps between their
+    numbers in rising order, and ``tf``, how often each occurs, as 32-bit integers."""
     kept = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = vocabulary.value
         for batch in batches:
-            found = [np.array([t for w in set(words_of(x.as_py())) if (t := terms.get(w)) is not None], np.int32) for x in batch.column("text")]
-            held = pa.array([np.sort(f).tobytes() for f in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), held], names=[*kept, "held"])
+            held, tf = [], []
+            for text in batch.column("text"):
+                counted = Counter(words_of(text.as_py()))
+                found = np.fromiter(map(terms.get, counted, repeat(-1)), np.int32, len(counted))
+                order = np.argsort(found)[np.count_nonzero(found < 0) :]
+                held.append(np.diff(found[order], prepend=np.int32(0)).tobytes())
+                tf.append(np.fromiter(counted.values(), np.int32, len(counted))[order].tobytes())
+            columns = [*(batch.column(c) for c in kept), pa.array(held, pa.binary()), pa.array(tf, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "held", "tf"])
+
+    return texts.mapInArrow(run, texts.select(kept).schema.add("held", "binary").add("tf", "binary"))
+
 
-    return texts.mapInArrow(run, texts.select(kept).schema.add("held", "binary"))
+def _numbers(held: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(held, np.int32), dtype=np.int64)
 
 
 def _term_counts(rows: DataFrame, size: int) -> DataFrame:
@@ -227,7 +245,7 @@ def _term_counts(rows: DataFrame, size: int) -> DataFrame:
         total, positive = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             for held, label in zip(batch.column("held"), batch.column("label"), strict=True):
-                terms = np.frombuffer(held.as_py(), np.int32)
+                terms = _numbers(held.as_py())
                 total[terms] += 1
                 if label.as_py():
                     positive[terms] += 1
@@ -303,22 +321,31 @@ def _examples(texts: DataFrame, first: DataFrame) -> DataFrame:
     return shared_table(listed.join(texts, ["doc_id", "hash"]), "examples")
 
 
-def fit(labelled: DataFrame, labels: DataFrame | None = None, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
+def fit(labelled: DataFrame, max_examples: int = MAX_EXAMPLES) -> ExampleIndex:
+    """Index of ``labelled(doc_id, text, label)``; rows with a null label or id teach nothing."""
+    index, numbered = fit_numbered(labelled, max_examples=max_examples)
+    release(numbered)
+    return index
+
+
+def fit_numbered(
+    labelled: DataFrame, labels: DataFrame | None = None, max_examples: int = MAX_EXAMPLES
+) -> tuple[ExampleIndex, DataFrame]:
     """Index of ``labelled(doc_id, text, label)``, or of ``labelled(doc_id, text)`` and ``labels(doc_id,
-    label)``, which moves texts once only; rows with a null label or id teach nothing.
+    label)``, and a written table of the known words of all its rows, for ``score_numbered``.
 
     What comes to the driver are the words of at most ``2 * max_examples`` rows. Repeated rows
     are examples of their own; without rows the index is empty and every score the base rate.
     """
     spark = labelled.sparkSession
     # texts are hashed before they meet labels, so that choosing examples moves no text
-    texts = labelled.filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", text_of())
+    texts = labelled.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", text_of())
     texts = texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash"), *(["label"] if labels is None else []))
 
     def with_labels(some: DataFrame) -> DataFrame:
         # labels grow with the documents, so they are never broadcast
         met = some if labels is None else some.join(labels.select("doc_id", "label").hint("merge"), "doc_id")
-        return met.filter("label is not null").withColumn("label", (F.col("label") == 1).cast("int"))
+        return met.filter("label is not null and doc_id is not null").withColumn("label", (F.col("label") == 1).cast("int"))
 
     order = shared_table(with_labels(texts.drop("text")).select("doc_id", "label", "hash"), "labelled_rows")
     total, positive = order.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
@@ -332,9 +359,9 @@ def fit(labelled: DataFrame, labels: DataFrame | None = None, max_examples: int
     numbered = vocabulary.orderBy("number").toArrow()
     terms = dict(zip(numbered.column("term").to_pylist(), range(numbered.num_rows), strict=True))
     sent = spark.sparkContext.broadcast(terms)
-    held = with_labels(_known_terms(texts.drop("hash"), sent))
-    counts = _term_counts(held, len(terms)).orderBy("term").toArrow()
+    known = shared_table(_known_terms(texts.drop("hash"), sent), "known_words")
     sent.destroy()
+    counts = _term_counts(with_labels(known.drop("tf")), len(terms)).orderBy("term").toArrow()
     n, a = (counts.column(c).to_numpy().astype(float) for c in ("n", "a"))
     examples = chosen.select("example", "doc_id", "label").orderBy("example").toArrow().to_pandas()
     listed = words.join(F.broadcast(vocabulary), "term").select("example", "number", F.col("tf").cast("int").alias("tf")).toArrow()
@@ -345,7 +372,7 @@ def fit(labelled: DataFrame, labels: DataFrame | None = None, max_examples: int
     )
     del listed, numbered, counts
     if not len(index.ids):
-        return index
+        return index, known
     # calibration: every example's vote without itself, labels weighted as among all rows
     share = {0: total - positive, 1: positive}
     worth = [share[y] / max(int((index.label == y).sum()), 1) for y in (0, 1)]
@@ -369,24 +396,43 @@ def fit(labelled: DataFrame, labels: DataFrame | None = None, max_examples: int
     # a bin without examples goes by its own votes
     centres = (np.arange(BINS) + 0.5) / BINS
     rates = (mass[:, 1] + centres) / (mass.sum(1) + 1)
-    return replace(index, calibrated=_rising(rates, mass.sum(1) + 1))
+    return replace(index, calibrated=_rising(rates, mass.sum(1) + 1)), known
 
 
-def score_documents(docs: DataFrame, index: ExampleIndex) -> DataFrame:
-    """``(doc_id, score, evidence)``: evidence holds the ids of the nearest examples. A null
-    text counts as empty; texts without a known word score as the base rate does."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)
+def _scored(rows: DataFrame, index: ExampleIndex, vectors: Callable) -> DataFrame:
+    sent = rows.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [score_text(sent.value, t.as_py()) for t in batch.column("text")]
+            found = [score_vector(sent.value, *v) for v in vectors(sent.value, batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.list_(pa.int64()))],
                 names=["doc_id", "score", "evidence"],
             )
 
-    schema = docs.select("doc_id").schema.add("score", "double").add("evidence", T.ArrayType(T.LongType()))
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
+    schema = rows.select("doc_id").schema.add("score", "double").add("evidence", T.ArrayType(T.LongType()))
+    return rows.mapInArrow(run, schema)
+
+
+def score_documents(docs: DataFrame, index: ExampleIndex) -> DataFrame:
+    """``(doc_id, score, evidence)``: evidence holds the ids of the nearest examples. A null
+    text counts as empty; texts without a known word score as the base rate does."""
+
+    def vectors(index: ExampleIndex, batch: pa.RecordBatch) -> Iterator[tuple]:
+        return (vector(index.terms, index.scale, t.as_py()) for t in batch.column("text"))
+
+    return _scored(docs.select("doc_id", text_of().alias("text")), index, vectors)
+
+
+def score_numbered(numbered: DataFrame, index: ExampleIndex) -> DataFrame:
+    """``score_documents`` of the rows that ``fit_numbered`` has cut into words; its index holds
+    them by number, so that its own words need not be sent."""
+
+    def vectors(index: ExampleIndex, batch: pa.RecordBatch) -> Iterator[tuple]:
+        for held, tf in zip(batch.column("held"), batch.column("tf"), strict=True):
+            yield weighted(index.scale, _numbers(held.as_py()), np.frombuffer(tf.as_py(), np.int32))
+
+    return _scored(numbered.select("doc_id", "held", "tf"), replace(index, terms={}), vectors)
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:
@@ -394,7 +440,8 @@ def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Da
     is its largest, and only ids outside the held-out fold teach."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     known = known.filter(~held_out(folds=folds))
-    scored = score_documents(docs.select("doc_id", "text"), fit(docs, known))
+    index, numbered = fit_numbered(docs, known)
+    scored = score_numbered(numbered, index)
     return scored.select(
         "doc_id", held_out(folds=folds).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
     )
