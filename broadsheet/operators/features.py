@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from broadsheet.functions.binding import let
 from broadsheet.functions.tokens import ngrams, term_counts, tokens
+from broadsheet.operators.counting import cell_totals, ngram_totals
 from broadsheet.session import materialise
 
 # Vocabularies of up to this many rows, as counted, travel to every executor.
@@ -83,68 +85,88 @@ def _most_frequent(counted: DataFrame, limit: int) -> DataFrame:
     return counted.filter(bin_of >= lowest.scalar()).orderBy(F.desc("tf"), "term").limit(limit)
 
 
+def _with_sets(df: DataFrame, text: str, options: TfidfOptions, sets: dict[str, Column]) -> DataFrame:
+    """Words, and for each set whether a row is in it."""
+    flagged = df.select(text, *[F.coalesce(c, F.lit(False)).alias(name) for name, c in sets.items()])
+    return flagged if isinstance(df.schema[text].dataType, T.ArrayType) else with_words(flagged, text, options)
+
+
 def term_totals(df: DataFrame, text: str, options: TfidfOptions, sets: dict[str, Column]) -> DataFrame:
     """``(term, tf_<set>, df_<set>, ...)`` for several sets of rows in one pass: a set is a
     condition on the rows."""
-    flagged = df.select(text, *[c.alias(f"__in_{name}") for name, c in sets.items()])
-    terms = document_terms(flagged, text, options, *[f"__in_{name}" for name in sets]).filter(F.col("term").isNotNull())
-    sums = []
-    for name in sets:
-        member = F.col(f"__in_{name}")
-        sums += [F.sum(F.when(member, F.col("tf"))).alias(f"tf_{name}"), F.count_if(member).alias(f"df_{name}")]
-    return terms.groupBy("term").agg(*sums)
+    return ngram_totals(_with_sets(df, text, options, sets), text, options.ngram_max, list(sets))
 
 
-def vocabulary_of(totals: DataFrame, name: str, n_docs: Column, options: TfidfOptions, *keep: str) -> DataFrame:
-    """``(term, tf, df, *keep)`` of the terms that a set of ``term_totals`` keeps."""
-    counted = totals.select("term", F.col(f"tf_{name}").alias("tf"), F.col(f"df_{name}").alias("df"), *keep).filter(
+def _kept(totals: DataFrame, name: str, n_docs: Column, options: TfidfOptions, *keep: str) -> DataFrame:
+    """``(term, tf, df, *keep)`` of the terms within the limits of document frequency."""
+    return totals.select("term", F.col(f"tf_{name}").alias("tf"), F.col(f"df_{name}").alias("df"), *keep).filter(
         (F.col("df") >= max(options.min_df, 1)) & (F.col("df") <= F.lit(options.max_df) * n_docs)
     )
-    return counted if options.max_features is None else _most_frequent(counted, options.max_features)
 
 
-def vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> DataFrame:
-    """``(term, tf, df)`` of the kept terms of a corpus."""
-    n_docs = df.agg(F.count(F.lit(1)))
-    return vocabulary_of(term_totals(df, text, options, {"all": F.lit(True)}), "all", n_docs.scalar(), options)
+def vocabulary_of(totals: DataFrame, name: str, n_docs: Column, options: TfidfOptions, *keep: str) -> DataFrame:
+    """``(term, tf, df, *keep)`` of the terms that a set of ``term_totals`` keeps."""
+    counted = _kept(totals, name, n_docs, options, *keep)
+    return counted if options.max_features is None else _most_frequent(counted, options.max_features)
 
 
-# Cells of the counting sketch; each is two numbers. Heavy ones, so at most all, are broadcast.
-SKETCH_CELLS = 1 << 18
+# Cells of the counting sketch; each is one number for each set. At most all come to the driver.
+SKETCH_CELLS = 1 << 20
 
 
-def pruned_vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> DataFrame:
-    """``vocabulary``, for corpora with many more terms than are kept.
+def frequent_totals(
+    df: DataFrame, text: str, options: TfidfOptions, sets: dict[str, Column], of: tuple[str, ...]
+) -> DataFrame:
+    """``term_totals``, written, of the terms that the vocabularies of the sets ``of`` can hold, and some more.
 
-    A first pass adds terms up in hashed cells: a cell's sums bound those of each of its terms, and
+    A first pass adds terms up in hashed cells: a cell's sum bounds the occurrences of each of its terms, and
     cells are all that it shuffles. The second counts exactly, and shuffles only, terms of cells that
     reach ``min_df`` and a number of occurrences. If enough counted terms reach that number, none
     outside the cells can be among the most frequent; otherwise the number is quartered.
     """
-    rows = materialise(with_words(df.select(text), text, options), "words")
-    n_docs = rows.count()
-    cell = F.pmod(F.xxhash64("term"), F.lit(SKETCH_CELLS))
-    terms = document_terms(rows, text, options).filter(F.col("term").isNotNull()).withColumn("cell", cell)
-    cells = materialise(terms.groupBy("cell").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")), "cells")
-    heavy = cells.filter(F.col("df") >= options.min_df)
-    least, limit = 1, options.max_features
+    rows = _with_sets(df, text, options, sets)
+    if not isinstance(df.schema[text].dataType, T.ArrayType):
+        rows = materialise(rows, "words")
+    spark, limit, floor = df.sparkSession, options.max_features, max(options.min_df, 1)
+    n_docs = rows.agg(*[F.count_if(name).alias(name) for name in of]).first()
+    cells = materialise(cell_totals(rows, text, options.ngram_max, list(of), SKETCH_CELLS), "cells")
+    least = dict.fromkeys(of, floor)
     if limit is not None:
-        # as many cells as may hold the terms wanted, and their like
-        upto = F.sum("cells").over(Window.orderBy(F.desc("tf")))
-        sizes = heavy.groupBy("tf").agg(F.count(F.lit(1)).alias("cells")).withColumn("upto", upto)
-        least = sizes.filter(F.col("upto") >= 2 * limit).agg(F.max("tf")).first()[0] or 1
+        for name in of:
+            # as many cells as may hold the terms wanted, and their like
+            tf = F.col(f"tf_{name}")
+            upto = F.sum("cells").over(Window.orderBy(F.desc("tf")))
+            sizes = cells.groupBy(tf.alias("tf")).agg(F.count(F.lit(1)).alias("cells")).withColumn("upto", upto)
+            least[name] = max(sizes.filter(F.col("upto") >= 2 * limit).agg(F.max("tf")).first()[0] or 0, floor)
     while True:
-        wanted = heavy.filter(F.col("tf") >= least).select("cell")
-        exact = terms.join(F.broadcast(wanted), "cell", "left_semi").groupBy("term").agg(
-            F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")
-        )
-        exact = exact.filter((F.col("df") >= options.min_df) & (F.col("df") <= F.lit(options.max_df) * n_docs))
-        if limit is None:
-            return exact
-        counted = materialise(exact, "counted_terms")
-        if least <= 1 or counted.filter(F.col("tf") >= least).limit(limit).count() == limit:
-            return _most_frequent(counted, limit)
-        least //= 4
+        reach = F.lit(False)
+        for name in of:
+            reach = reach | (F.col(f"tf_{name}") >= least[name])
+        heavy = np.zeros(SKETCH_CELLS, bool)
+        heavy[cells.filter(reach).select("cell").toArrow().column("cell").to_numpy()] = True
+        sent = spark.sparkContext.broadcast(heavy)
+        counted = materialise(ngram_totals(rows, text, options.ngram_max, list(sets), sent), "counted_terms")
+        sent.destroy()
+        short = []
+        for name in of:
+            kept = _kept(counted, name, F.lit(n_docs[name]), options).filter(F.col("tf") >= least[name])
+            if least[name] > floor and kept.limit(limit).count() < limit:
+                short.append(name)
+        if not short:
+            return counted
+        for name in short:
+            least[name] = max(least[name] // 4, floor)
+
+
+def vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> DataFrame:
+    """``(term, tf, df)`` of the kept terms of a corpus."""
+    n_docs = df.agg(F.count(F.lit(1)))
+    return vocabulary_of(frequent_totals(df, text, options, {"all": F.lit(True)}, ("all",)), "all", n_docs.scalar(), options)
+
+
+def pruned_vocabulary(df: DataFrame, text: str, options: TfidfOptions = TfidfOptions()) -> DataFrame:
+    """``vocabulary``, which counts exactly only what a sketch leaves."""
+    return vocabulary(df, text, options)
 
 
 def with_idf(vocab: DataFrame, docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.functions import tokens as T
-from broadsheet.operators import features as X
+from broadsheet.operators import counting, features as X
 from tests.conftest import evaluate
 
 V = F.col("v")
@@ -67,6 +67,45 @@ def test_pruned_vocabulary_is_the_same(spark, monkeypatch, cells):
     assert X.pruned_vocabulary(df.limit(0), "text").count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 3])
+@pytest.mark.parametrize("chunk", [2, 1 << 20])
+def test_totals_of_sets_against_brute_force(spark, n, chunk):
+    docs = ["aa bb aa bb aa", None, "", "bb", "aa bb cc dd", "é aa bb cc", "cc dd aa bb aa"] * 3
+    df = spark.createDataFrame([(i, t, None if i % 5 == 4 else i % 2 == 0) for i, t in enumerate(docs)], "id long, text string, even boolean")
+    want = {}
+    for i, d in enumerate(docs):
+        for t, k in Counter(grams(d or "", n)).items():
+            tf, dfreq, even_tf, even_df = want.get(t, (0, 0, None, 0))
+            even = i % 5 != 4 and i % 2 == 0
+            want[t] = (tf + k, dfreq + 1, (even_tf or 0) + k if even else even_tf, even_df + even)
+    options = X.TfidfOptions(ngram_max=n, min_df=1, max_features=4)
+    sets = {"all": F.lit(True), "even": F.col("even")}
+    rows = X._with_sets(df, "text", options, sets)
+    size, counting.CHUNK_WORDS = counting.CHUNK_WORDS, chunk
+    try:
+        got = {r.term: tuple(r)[1:] for r in X.ngram_totals(rows, "text", n, ["all", "even"]).collect()}
+    finally:
+        counting.CHUNK_WORDS = size
+    assert got == want
+
+
+def test_totals_sort_no_strings_in_rows(spark):
+    """Counting inside each row, a lambda for every term, took most of the time of a vocabulary."""
+    df = spark.createDataFrame([(1, "aa bb")], "id long, text string")
+    plan = X.term_totals(df, "text", X.TfidfOptions(), {"all": F.lit(True)})._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "sort_array" not in plan
+
+
+def test_only_terms_of_heavy_cells_are_shuffled(spark):
+    docs = [f"common words again only{i} rare{i}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(docs)), "id long, text string")
+    options = X.TfidfOptions(max_df=1.0, max_features=3)
+    counted = X.frequent_totals(df, "text", options, {"all": F.lit(True)}, ("all",))
+    terms = {r.term for r in counted.collect()}
+    assert {"again", "common", "common words"} <= terms and len(terms) < 30
+    assert {r.term for r in X.vocabulary(df, "text", options).collect()} == {"again", "common", "common words"}
+
+
 def test_tfidf_formulas(spark):
     df = spark.createDataFrame([(1, "aa bb aa"), (2, "aa cc"), (3, "bb cc"), (4, "..")], "id long, text string")
     options = X.TfidfOptions(ngram_max=1, min_df=1, max_df=1.0)
