@@ -9,6 +9,7 @@ from broadsheet.operators import features as X
 from broadsheet.operators.model import score_linear
 from broadsheet.registry import sql
 from broadsheet.registry.base import query, table
+from broadsheet.session import materialise
 
 # The stop words of the registered baseline query.
 STOP_WORDS = (
@@ -103,11 +104,13 @@ SELECT doc_id, round(margin, 6) AS margin, round(1 / (1 + exp(-margin)), 6) AS p
 )
 def linear_score(spark, sf):
     """Scoring with a linear model whose coefficients are log odds of the language."""
-    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    options = X.TfidfOptions()
+    documents = X.with_words(table(spark, sf, "documents").select("doc_id", "text", "lang"), "text", options)
+    documents = materialise(documents, "samples")
     sets = {"all": F.lit(True), "english": F.col("lang") == "en"}
-    totals = X.term_totals(documents, "text", X.TfidfOptions(), sets)
+    totals = X.frequent_totals(documents, "text", options, sets, ("all",))
     n_docs = documents.agg(F.count(F.lit(1))).scalar()
-    vocab = X.with_idf(X.vocabulary_of(totals, "all", n_docs, X.TfidfOptions(), "df_english"), documents)
+    vocab = X.with_idf(X.vocabulary_of(totals, "all", n_docs, options, "df_english"), documents)
     coefficients = vocab.withColumn("coef", F.log((1 + F.col("df_english")) / (1 + F.col("df") - F.col("df_english"))))
     out = score_linear(documents, "doc_id", "text", coefficients, -0.25)
     return out.select("doc_id", F.round("margin", 6).alias("margin"), F.round("probability", 6).alias("probability"), "prediction")
