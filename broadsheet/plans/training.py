@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from broadsheet.config import CleaningOptions
 from broadsheet.functions.labels import text_of_string
 from broadsheet.operators import metrics
-from broadsheet.operators.features import term_totals, with_words
+from broadsheet.operators.features import frequent_totals, with_words
 from broadsheet.operators.model import FitOptions, HeadlineModel, fit_model
 from broadsheet.operators.sampling import fit_stratified_split
 from broadsheet.plans.cleaning import prepare_data, prepare_dataset
@@ -46,7 +46,7 @@ def train(
     rows = materialise(with_words(samples.select(key, "text", "label"), "text", options.tfidf), "samples")
     split = fit_stratified_split(rows, "label", key, test_size, seed)
     sets = {"train": ~split.is_test()} | ({"all": F.lit(True)} if refit_on_all else {})
-    totals = materialise(term_totals(rows, "text", options.tfidf, sets), "term_totals")
+    totals = frequent_totals(rows, "text", options.tfidf, sets, tuple(sets))
     validated = fit_model(split.train(rows), key, "text", options=options, totals=(totals, "train"))
     predictions = materialise(validated.score(split.test(rows), key, "text", ("label",)), "predictions")
     scores = metrics.summary(predictions).first()
