@@ -20,6 +20,8 @@ from broadsheet.llm.common import row_key, shared_table, text_of
 WINDOW = 8
 # Windows of fewer literal words say too little under other figures; they are widened, and matched exactly.
 LITERALS = 5
+# Windows of up to so many words are hashed one by one; wider ones from names of 1, 2, 4 .. words.
+DIRECT = 16
 # Benchmark windows up to this number are broadcast (about 200 bytes each); more are joined by shuffling.
 BROADCAST_WINDOWS = 200_000
 
@@ -86,10 +88,19 @@ def _named(read):
     return lambda w: F.xxhash64(read(w))
 
 
+def _marks(df: DataFrame, *readings) -> DataFrame:
+    """Adds ``m0``, ``m1``, ..: the words' hashes in each reading."""
+    return computed(df, *[F.transform("words", _named(read)).alias(f"m{i}") for i, read in enumerate(readings)])
+
+
+def _hash_at(marks: str, pos: str, window: int) -> Column:
+    """The hash of the ``window`` words from ``pos`` on, for windows of up to ``DIRECT`` words."""
+    return F.xxhash64(*[F.get(marks, F.col(pos) + k) for k in range(window)])
+
+
 def _hashed(df: DataFrame, window: int, *readings) -> DataFrame:
     """Adds ``hashes``, by place the distinct hashes of the window of ``words`` in each reading."""
-    marks = [F.transform("words", _named(read)).alias(f"m{i}") for i, read in enumerate(readings)]
-    df = computed(df, *marks)
+    df = _marks(df, *readings)
     # names of 1, 2, 4 .. words from each word on; two that overlap name a window of any size
     width = 1
     while width < window:
@@ -112,6 +123,17 @@ def _windows(df: DataFrame, window: int, readings, *kept: str) -> DataFrame:
     """``kept``, ``pos`` (from 0) and ``hash`` for every window of ``words`` in each reading;
     readings that agree count once."""
     df = df.filter(F.size("words") >= window).select(*kept, "words", F.size("words").alias("n_words"))
+    if window <= DIRECT:
+        # a window's hash is computed in its row, by generated code: no lambda for every word
+        df = _marks(df, *readings).select(*kept, "n_words", *[f"m{i}" for i in range(len(readings))])
+        starts = F.sequence(F.lit(0), F.col("n_words") - window)
+        spread = df.select("*", F.explode(starts).alias("pos"))
+        hashes = [_hash_at(f"m{i}", "pos", window).alias(f"h{i}") for i in range(len(readings))]
+        spread = spread.select(*kept, "pos", *hashes)
+        if len(readings) == 1:
+            return spread.withColumnRenamed("h0", "hash")
+        of = F.when(F.col("h0") == F.col("h1"), F.array("h0")).otherwise(F.array("h0", "h1"))
+        return spread.select(*kept, "pos", F.explode(of).alias("hash"))
     df = _hashed(df, window, *readings).drop("words")
     spread = df.select(*kept, "n_words", F.posexplode("hashes").alias("pos", "of"))
     spread = spread.filter(F.col("pos") <= F.col("n_words") - window)
@@ -143,9 +165,13 @@ def _of_size(wanted: DataFrame, size: int, readings: dict) -> DataFrame:
     of ``size`` words; a window without figures is one that is looked up as written."""
     parts = []
     for reading, (read, below) in readings.items():
-        own = _hashed(wanted.filter(F.col("reading") == reading), size, read)
+        own = wanted.filter(F.col("reading") == reading)
+        if size <= DIRECT:
+            own, of = _marks(own, read), _hash_at("m0", "pos", size)
+        else:
+            own, of = _hashed(own, size, read), F.get(F.get("hashes", "pos"), F.lit(0))
         inside = F.filter(_slots(F.col("words"), below), lambda s: (s.at >= F.col("pos")) & (s.at < F.col("pos") + size))
-        parts.append(own.select("item_id", "reading", F.get(F.get("hashes", "pos"), F.lit(0)).alias("hash"), F.col("pos").alias("item_pos"), inside.alias("slots")))
+        parts.append(own.select("item_id", "reading", of.alias("hash"), F.col("pos").alias("item_pos"), inside.alias("slots")))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)

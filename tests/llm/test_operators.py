@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.llm import chunk_dedup, language_id, packing, suffix_dedup, toxicity
+from broadsheet.llm import chunk_dedup, decontaminate, language_id, packing, suffix_dedup, toxicity
 from broadsheet.llm.chat import conversations, linear_messages, loss_text, read_turns
 from broadsheet.llm.common import components
 from broadsheet.llm.decontaminate import template_matches
@@ -335,6 +335,21 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert len(only) == 10 and {r.score for r in only} == {0.5}
 
 
+def test_windows_are_hashed_without_a_lambda_for_each_pair(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "We sold Anna 12 tins of very old blue paint near the big red barn"), (2, "Tins of paint"), (3, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "Then they sold Bert 99 tins of very old blue paint near the big red barn")], "item_id long, text string")
+    words = decontaminate.with_words(docs)
+    reads = [r[0] for r in decontaminate._READINGS.values()]
+    windows = decontaminate._windows(words, 8, reads, "doc_id")
+    assert "zip_with" not in windows._jdf.queryExecution().executedPlan().toString()
+    places = lambda: sorted((r.doc_id, r.pos) for r in decontaminate._windows(words, 8, reads, "doc_id").collect())
+    found = lambda: rows_of(template_matches(docs, items), "doc_id", "item_id", "n_windows", "first_word", "n_changed")
+    direct = places(), found()
+    assert direct[1] and direct[1][0][:2] == (1, 7)
+    monkeypatch.setattr(decontaminate, "DIRECT", 0)
+    assert (places(), found()) == direct
+
+
 def test_templates_of_few_literals(spark):
     texts = ["A car drives 120 km in 2 hours. How far in 5 hours?", "What is 12 + 34 + 56 + 78?", "12 + 34", "Is 5 prime?"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
