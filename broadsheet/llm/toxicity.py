@@ -5,9 +5,11 @@ how far the word's odds differ between the labels, so that words which tell noth
 little; none is left out. The nearest examples by exact cosine vote, each by the square of its
 cosine; votes are calibrated by the examples' own, each without itself.
 
-Examples are ordered so that similar ones share a block. An inverted list keeps, for each word,
-the blocks that hold it with its greatest weight there. The sums of those bound every block's
-cosines; blocks whose bound is below the cosine of the last neighbour are never opened.
+Words that many examples hold have a row of weights, an entry for each example: what they add to
+the cosines of many texts is one product of matrices. For the others, examples are ordered so that
+similar ones share a block, and an inverted list keeps, for each word, the blocks that hold it with
+its greatest weight there. The sums of those bound every block's cosines; blocks whose bound is
+below the cosine of the last neighbour are never opened.
 
 Document frequencies and odds are counted over all training rows. The examples are a sample of
 at most ``MAX_EXAMPLES`` rows of each label, the first by a hash of the id.
@@ -20,8 +22,8 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
-from functools import lru_cache
-from itertools import repeat
+from functools import cached_property, lru_cache
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -36,22 +38,40 @@ MAX_EXAMPLES = 3000
 NEIGHBOURS = 15
 BLOCK = 64
 # Postings read in the first round; examples left for each neighbour that are few enough to verify.
-FIRST_POSTINGS, FEW_LEFT = 4096, 4
+FIRST_POSTINGS, FEW_LEFT = 8192, 4
 # Blocks from which on a word's block bounds are kept as a whole row.
 DENSE_BLOCKS = 16
-# Against rounding: postings keep weights in single precision, examples' own lists in double.
-SLACK = 1e-5
+# A word that one example in so many holds has a row of all its weights: these rows have at most so
+# many times the numbers of the postings. Texts scored at a time.
+COMMON, TEXTS = 16, 256
+# Against rounding: postings and rows keep weights in single precision, and rows are added up in it;
+# examples' own lists are in double.
+SLACK = 1e-4
 # Weight of the base rate among the votes.
 PRIOR = 0.5
 BINS = 20
 
 _WORD = re.compile(r"\w+")
+# ASCII characters that are part of no word become spaces.
+_GAPS = bytes(c if c > 127 or _WORD.fullmatch(chr(c)) else 32 for c in range(256))
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def word_counts(text: str) -> Counter:
+    """How often each of ``words_of`` occurs. Texts are cut at ASCII characters and white space first;
+    the pattern sees only distinct pieces with others that are no letter or digit."""
+    cut = text.lower().encode("utf-8", "surrogatepass").translate(_GAPS).decode("utf-8", "surrogatepass")
+    counted = Counter(cut.split())
+    for piece in [p for p in counted if not p.isalnum()]:
+        n = counted.pop(piece)
+        for word in _WORD.findall(piece):
+            counted[word] += n
+    return counted
+
+
 @dataclass(frozen=True)
 class ExampleIndex:
     """Words ``t`` have the entries ``first[t]`` to ``first[t + 1]``, one for each block that holds
@@ -80,6 +100,19 @@ class ExampleIndex:
     base_rate: float
     calibrated: np.ndarray | None = None
 
+    @cached_property
+    def common(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each word its row or -1, and the rows: weights in all examples of the words in many.
+        Made from the postings where it is needed; it is not sent."""
+        opens = self.opens[self.first].astype(np.int64)
+        many = np.flatnonzero(np.diff(opens) * COMMON >= max(len(self.ids), 1))
+        row = np.full(len(opens) - 1, -1, np.int32)
+        row[many] = np.arange(len(many))
+        postings, sizes = _spread(opens[many], opens[many + 1])
+        weights = np.zeros((len(many), len(self.ids)), np.float32)
+        weights[np.repeat(np.arange(len(many)), sizes), self.example[postings]] = self.weight[postings]
+        return row, weights
+
 
 def term_scale(rows: int, positive: int, n: np.ndarray, a: np.ndarray) -> np.ndarray:
     """Weight of words that ``n`` rows hold, ``a`` of them positive: inverse document frequency
@@ -91,7 +124,7 @@ def term_scale(rows: int, positive: int, n: np.ndarray, a: np.ndarray) -> np.nda
 
 def vector(terms: dict[str, int], scale: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Known words and weights of length 1; both empty if the text has none that weighs."""
-    counted = Counter(words_of(text))
+    counted = word_counts(text)
     found = np.fromiter(map(terms.get, counted, repeat(-1)), np.int64, len(counted))
     counts = np.fromiter(counted.values(), np.int64, len(counted))
     known = found >= 0
@@ -117,8 +150,11 @@ def _cosines(index: ExampleIndex, examples: np.ndarray, terms: np.ndarray, weigh
     scratch = _scratch(len(index.scale))
     scratch[terms] = weights
     found = np.empty(len(examples))
-    for i, (start, end) in enumerate(zip(index.starts[examples].tolist(), index.starts[examples + 1].tolist(), strict=True)):
-        found[i] = scratch.take(index.held[start:end]) @ index.held_weight[start:end]
+    for at in range(0, len(examples), BLOCK):
+        some = examples[at : at + BLOCK]
+        entries, sizes = _spread(index.starts[some], index.starts[some + 1])
+        parts = scratch.take(index.held[entries]) * index.held_weight[entries]
+        found[at : at + BLOCK] = np.bincount(np.repeat(np.arange(len(some)), sizes), parts, len(some))
     scratch[terms] = 0
     return found
 
@@ -129,16 +165,32 @@ def _scratch(size: int) -> np.ndarray:
     return np.zeros(size)
 
 
-def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1):
-    """``(examples, cosines)`` of the ``k`` nearest examples, nearest first; ties by number.
+def common_parts(index: ExampleIndex, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """What the words in many examples add to the cosines of some texts, a row for each text."""
+    row, rows = index.common
+    asked = np.zeros((len(vectors), len(rows)), np.float32)
+    for i, (terms, weights) in enumerate(vectors):
+        at = row[terms]
+        asked[i, at[at >= 0]] = weights[at >= 0]
+    return asked @ rows
+
 
-    Words are taken in rounds, those that can add most first. The greatest weights of the words
-    not yet taken bound what each block can still add; an example whose part and bound together
+def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1, part: np.ndarray | None = None):
+    """``(examples, cosines)`` of the ``k`` nearest examples, nearest first; ties by number. ``part``
+    is the text's row of ``common_parts``, if it is known.
+
+    The other words are taken in rounds, those that can add most first. The greatest weights of the
+    words not yet taken bound what each block can still add; an example whose part and bound together
     stay below the ``k``-th part is out, and a block without examples left is not read again. Few
     examples left are verified by their own lists of words.
     """
     if not len(terms) or not len(index.ids):
         return np.empty(0, np.int64), np.empty(0)
+    whole = terms, weights
+    at, rows = index.common[0][terms], index.common[1]
+    other = at < 0
+    part = weights[~other] @ rows[at[~other]] if part is None else part.astype(np.float64)
+    terms, weights = terms[other], weights[other]
     order = np.argsort(-weights * index.top[terms], kind="stable")
     terms, weights = terms[order], weights[order]
     count = -(-len(index.ids) // BLOCK)
@@ -149,7 +201,6 @@ def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int,
     rest += np.bincount(index.block[entries], np.repeat(weights[row < 0], sizes) * index.greatest[entries], count)
     # rounds of about twice as many postings each, cut between words
     upto = np.cumsum(index.opens[index.first[terms + 1]] - index.opens[index.first[terms]], dtype=np.int64)
-    part = np.zeros(len(index.ids))
     alive = np.ones(count, bool)
     at, size, least = 0, FIRST_POSTINGS, 0.0
     while True:
@@ -176,7 +227,7 @@ def nearest(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, k: int,
     left = left[left != but]
     if at == len(terms) and len(left) > k:  # parts are rounded cosines here
         left = left[part[left] >= least - SLACK]
-    score = _cosines(index, left, terms, weights)
+    score = _cosines(index, left, *whole)
     left, score = left[score > 0], score[score > 0]
     best = np.lexsort((left, -score))[:k]
     return left[best], score[best]
@@ -193,14 +244,23 @@ def score_text(index: ExampleIndex, text: str) -> tuple[float, list[int]]:
     return score_vector(index, *vector(index.terms, index.scale, text))
 
 
-def score_vector(index: ExampleIndex, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int]]:
-    examples, cosines = nearest(index, terms, weights, NEIGHBOURS)
+def score_vector(
+    index: ExampleIndex, terms: np.ndarray, weights: np.ndarray, part: np.ndarray | None = None
+) -> tuple[float, list[int]]:
+    examples, cosines = nearest(index, terms, weights, NEIGHBOURS, part=part)
     raw = vote(index, examples, cosines)
     centres = (np.arange(BINS) + 0.5) / BINS
     score = raw if index.calibrated is None else float(np.interp(raw, centres, index.calibrated))
     return score, index.ids[examples[:3]].tolist()
 
 
+def score_vectors(index: ExampleIndex, vectors: Iterator[tuple]) -> Iterator[tuple[float, list[int]]]:
+    """``score_vector`` of many texts, some at a time."""
+    while some := list(islice(vectors, TEXTS)):
+        for one, part in zip(some, common_parts(index, some), strict=True):
+            yield score_vector(index, *one, part)
+
+
 def _rising(rates: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The nearest sequence that never falls (pooling neighbours that do)."""
     pools: list[list[float]] = []
@@ -223,7 +283,7 @@ def _known_terms(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
         for batch in batches:
             held, tf = [], []
             for text in batch.column("text"):
-                counted = Counter(words_of(text.as_py()))
+                counted = word_counts(text.as_py())
                 found = np.fromiter(map(terms.get, counted, repeat(-1)), np.int32, len(counted))
                 order = np.argsort(found)[np.count_nonzero(found < 0) :]
                 held.append(np.diff(found[order], prepend=np.int32(0)).tobytes())
@@ -259,7 +319,7 @@ def _term_counts(rows: DataFrame, size: int) -> DataFrame:
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        counts = [Counter(words_of(t)) for t in batch["text"]]
+        counts = [word_counts(t) for t in batch["text"]]
         sizes = [len(c) for c in counts]
         yield pd.DataFrame(
             {
@@ -381,10 +441,12 @@ def fit_numbered(
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = sent.value
         for batch in batches:
-            votes = []
-            for i in batch["id"].tolist():
-                own = slice(index.starts[i], index.starts[i + 1])
-                votes.append(vote(index, *nearest(index, index.held[own], index.held_weight[own], NEIGHBOURS, but=i)))
+            votes, numbers = [], batch["id"].to_numpy()
+            for some in np.split(numbers, range(TEXTS, len(numbers), TEXTS)):
+                own = [slice(index.starts[i], index.starts[i + 1]) for i in some]
+                vectors = [(index.held[o], index.held_weight[o]) for o in own]
+                for i, one, part in zip(some.tolist(), vectors, common_parts(index, vectors), strict=True):
+                    votes.append(vote(index, *nearest(index, *one, NEIGHBOURS, but=i, part=part)))
             label = index.label[batch["id"].to_numpy()].astype(int)
             yield pd.DataFrame({"bin": np.minimum((np.array(votes) * BINS).astype(int), BINS - 1), "label": label})
 
@@ -404,7 +466,7 @@ def _scored(rows: DataFrame, index: ExampleIndex, vectors: Callable) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [score_vector(sent.value, *v) for v in vectors(sent.value, batch)]
+            found = list(score_vectors(sent.value, vectors(sent.value, batch)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.list_(pa.int64()))],
                 names=["doc_id", "score", "evidence"],

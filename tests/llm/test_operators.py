@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -309,6 +310,37 @@ def test_toxic_neighbours_and_votes_equal_brute_force(spark, sf_dir):
         assert np.allclose(got, cosines) and toxicity.vote(index, found, got) == pytest.approx(votes, abs=1e-6)
 
 
+def test_word_counts_are_those_of_the_pattern():
+    texts = ["", " a b_c a", "L'été où naïve—naïve “x” a\u00a0b\u2028c", "ΟΔΟΣ ΟΔΟΣ. İI ß", "x\x1cy\x85z ½² ٣a 你好。世界 你好", "_ __ a-_b", "\ud800 a"]
+    for text in texts:
+        assert toxicity.word_counts(text) == Counter(toxicity.words_of(text))
+
+
+def test_common_words_are_added_up_for_many_texts_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, size = 300, 120
+    held = np.sort(rng.random((n, size)), axis=1).argsort(axis=1)  # every word's place, at random
+    pairs = [(i, t) for i in range(n) for t in range(size) if held[i, t] < 12 or t % 9 == 0]
+    example, term = (np.array(x) for x in zip(*pairs))
+    terms = {f"w{t}": t for t in range(size)}
+    index = toxicity.build_index(terms, rng.random(size) + 0.1, np.arange(n), np.arange(n) % 2, example, term, rng.integers(1, 4, len(term)).astype(float), 0.5)
+    asked = [toxicity.vector(terms, index.scale, " ".join(f"w{t}" for t in rng.integers(0, size, m))) for m in (0, 1, 7, 40, 200, 3)]
+    dense = np.zeros((n, size))
+    for i in range(n):
+        dense[i, index.held[index.starts[i] : index.starts[i + 1]]] = index.held_weight[index.starts[i] : index.starts[i + 1]]
+    for least in (1, 8, 10**6):  # rows for no word but those in all examples, for some, for every word
+        monkeypatch.setattr(toxicity, "COMMON", least)
+        fresh = replace(index)
+        one = [toxicity.score_vector(fresh, *v) for v in asked]
+        assert list(toxicity.score_vectors(fresh, iter(asked))) == one
+        for (t, w), part in zip(asked, toxicity.common_parts(fresh, asked)):
+            common = fresh.common[0][t] >= 0
+            assert np.allclose(part, dense[:, t[common]] @ w[common], atol=1e-5)
+            found, cosines = toxicity.nearest(fresh, t, w, 5, part=part)
+            assert np.allclose(cosines, np.sort((dense[:, t] @ w))[::-1][: len(cosines)]) and len(found) == (5 if len(t) else 0)
+    assert 0 < len(replace(index).common[1]) and "common" not in replace(fresh).__dict__
+
+
 def test_toxic_held_out_documents(spark, sf_dir, nothing):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.score_held_out(docs, labels).join(labels, "doc_id").filter("held_out").collect()
