@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from broadsheet.llm.common import row_key, shared_table, text_of
+from broadsheet.llm.common import row_key, shared_table, small_batches, text_of
 from broadsheet.llm.decontaminate import template_matches
 from broadsheet.llm.exact_dedup import exact_duplicates
 from broadsheet.llm.language_id import UNKNOWN, fit, identify
@@ -46,6 +46,11 @@ def _chosen(docs: DataFrame, fingerprint: Callable[[Column], Column], chosen: Da
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no known language: those without letters or text, and those that the
     best language's model codes in no fewer bits than their bytes have."""
+    with small_batches(spark):
+        return _known_language(spark, docs)
+
+
+def _known_language(spark: SparkSession, docs: DataFrame) -> DataFrame:
     model = fit(docs.select("doc_id", "text", "lang"))
     if model is None:  # no row teaches; what has letters is in some language
         return docs.filter(text_of().rlike(r"\p{L}"))

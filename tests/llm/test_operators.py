@@ -3,15 +3,17 @@
 import hashlib
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.llm import chunk_dedup, decontaminate, language_id, packing, suffix_dedup, toxicity
 from broadsheet.llm.chat import conversations, linear_messages, loss_text, read_turns
-from broadsheet.llm.common import components
+from broadsheet.llm.common import components, small_batches
 from broadsheet.llm.decontaminate import template_matches
 from broadsheet.llm.exact_dedup import exact_duplicates, name_documents
 from broadsheet.llm.ngram_join import near_duplicates, shingle_hashes, signature, subset_count
@@ -272,6 +274,33 @@ def test_code_lengths_are_those_of_a_distribution(spark):
     assert whole.shape == (1, 2) and (whole > 0).all()
 
 
+def test_only_texts_are_sent_to_the_language_model(spark):
+    pair = [("the cat sat on the mat", "en"), ("le chat dort sur le lit", "fr")]
+    docs = documents(spark, [(i, t if i % 7 else None if i % 2 else "12 --", lang) for i, (t, lang) in enumerate(pair * 400)]).coalesce(1)
+    model = language_id.fit(docs)
+    found = language_id.identify(docs, model, ["doc_id", "text", "lang"]).filter("lang_pred != 'und' and bits_per_byte < 8")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # once, and no other column with it
+    assert plan.count("ArrowEvalPython") == 1 and "MapIn" not in plan
+    rows = found.collect()
+    assert {r.doc_id for r in rows} == {i for i in range(800) if i % 7} and all(r.lang == r.lang_pred for r in rows)
+    bits = language_id.code_lengths(model, [r.text.encode() for r in rows]).min(1)
+    assert np.allclose([r.bits_per_byte * len(r.text.encode()) for r in rows], bits)
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    @F.arrow_udf("long")
+    def size(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([batch.get_total_buffer_size()] * len(batch), pa.int64())
+
+    texts = spark.range(300, numPartitions=1).select(F.repeat(F.lit("text"), 25_000).alias("text"))
+    with small_batches(spark):
+        sizes = texts.select(size("text").alias("n")).distinct().collect()
+    assert len(sizes) > 1 and max(r.n for r in sizes) < 20_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
 def toxic_by_hand(train, texts, k=toxicity.NEIGHBOURS):
     """Cosines of whole weighted vectors over all examples, and the votes of the nearest."""
     counted = [(i, Counter(toxicity.words_of(t)), y) for i, t, y in train]
