@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from broadsheet.functions.binding import computed
-from broadsheet.llm.common import row_key, shared_table, text_of
+from broadsheet.llm.common import row_key, shared_parts, shared_table, text_of
 
 WINDOW = 8
 # Windows of fewer literal words say too little under other figures; they are widened, and matched exactly.
@@ -203,34 +203,40 @@ def template_matches(
     who = ["doc_id", "key1", "key2"]
     reads = [r[0] for r in _READINGS.values()]
     few = wanted.filter("size is null or size > base")
-    met = None
+    place = ["key1", "key2", "item_id", "size", "reading", "pos", "item_pos"]
+
+    def sizes(of: DataFrame, column: str) -> list[int]:
+        return [r[0] for r in of.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
 
     def meet(words, size, readings, sought):
-        nonlocal met
+        sought = shared_table(sought, "sought_windows")
         found = _windows(words, size, readings, *who).join(_small(sought), "hash").drop("hash")
         # of a document that may hold a wider window only the name is needed
         found = found.withColumns({"size": F.lit(size), "pos": F.expr("case when item_pos is not null then pos end")})
-        met = found if met is None else met.unionByName(found)
+        return found.dropDuplicates(place)
+
+    # windows of each size are met in a job of their own: no plan grows with the number of sizes
+    def narrow():
+        for size in sizes(wanted, "base") or [window]:
+            whole = _of_size(wanted.filter((F.col("base") == size) & (F.col("size") == size)), size, _READINGS)
+            seeds = _of_size(few.filter(F.col("base") == size).withColumn("pos", F.col("base_pos")), size, _READINGS)
+            seeds = seeds.select("hash").distinct()
+            yield meet(words, size, reads, whole.unionByName(seeds, allowMissingColumns=True))
+
+    def wider(near):
+        for size in sizes(few, "size"):
+            yield meet(near, size, reads, _of_size(few.filter(F.col("size") == size), size, _READINGS))
+        for size in sizes(few, "base"):
+            exact = few.filter(F.col("base") == size).withColumns({"pos": F.col("base_pos"), "reading": F.lit("written")})
+            yield meet(near, size, [_as_written], _of_size(exact, size, {"written": (_as_written, "")}))
 
-    for size in [r[0] for r in wanted.select("base").distinct().orderBy("base").collect()] or [window]:
-        whole = _of_size(wanted.filter((F.col("base") == size) & (F.col("size") == size)), size, _READINGS)
-        seeds = _of_size(few.filter(F.col("base") == size).withColumn("pos", F.col("base_pos")), size, _READINGS)
-        seeds = seeds.select("hash").distinct()
-        meet(words, size, reads, whole.unionByName(seeds, allowMissingColumns=True))
-    place = ["key1", "key2", "item_id", "size", "reading", "pos", "item_pos"]
-    met = shared_table(met.dropDuplicates(place), "template_windows")
+    met = shared_parts(narrow(), "template_windows")
     near = met.filter("item_pos is null").select("key1", "key2").distinct()
     met = met.filter("item_pos is not null")
     if not near.isEmpty():
         # windows of few literals: wider ones, and as written, in the documents that hold their template
         near = with_words(shared_table(texts.join(_small(near), ["key1", "key2"], "left_semi"), "likely_documents"))
-        first, met = met, None
-        for size in [r[0] for r in few.select("size").filter("size is not null").distinct().orderBy("size").collect()]:
-            meet(near, size, reads, _of_size(few.filter(F.col("size") == size), size, _READINGS))
-        for size in [r[0] for r in few.select("base").distinct().orderBy("base").collect()]:
-            exact = few.filter(F.col("base") == size).withColumns({"pos": F.col("base_pos"), "reading": F.lit("written")})
-            meet(near, size, [_as_written], _of_size(exact, size, {"written": (_as_written, "")}))
-        met = first.unionByName(shared_table(met.dropDuplicates(place), "wider_windows"))
+        met = met.unionByName(shared_parts(wider(near), "wider_windows"))
     # what stands in the slots, read again from the few documents that matched
     theirs = met.select(*place, F.explode("slots").alias("s")).select(
         *place, (F.col("s.at") - F.col("item_pos") + F.col("pos")).alias("at"), F.col("s.value").alias("theirs")
@@ -248,6 +254,7 @@ def template_matches(
         F.size(F.collect_set("theirs")).alias("n_theirs"),
         F.max(F.col("own") != F.col("theirs")).alias("changed"),
     )
+    checked = shared_table(checked, "checked_windows")
     met = met.join(checked, place, "left").filter("size(slots) = 0 or (both = n_own and both = n_theirs)")
     # a window that matches in several readings is one
     plain = (F.col("reading") == "words") & (F.col("size") <= window)

@@ -1,6 +1,8 @@
 """The operators against brute force, round trips and odd input."""
 
+import contextlib
 import hashlib
+import io
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -44,6 +46,12 @@ def rows_of(df, *columns):
     return sorted(map(tuple, df.select(*columns).collect()), key=repr)
 
 
+def plan_lines(df):
+    with contextlib.redirect_stdout(io.StringIO()) as told:
+        df.explain()
+    return told.getvalue().count("\n")
+
+
 def test_exact_duplicates(odd, nothing):
     found = {(r.doc_id, r.kept): r for r in exact_duplicates(odd, block_bytes=8).collect()}
     assert found[2, True].group_size == 4 and found[None, False].keep_id == 2
@@ -411,6 +419,25 @@ def test_windows_are_hashed_without_a_lambda_for_each_pair(spark, monkeypatch):
     assert (places(), found()) == direct
 
 
+def test_no_plan_of_templates_grows_with_the_sizes_of_windows(spark, monkeypatch):
+    words = "old paint dries on warm walls near red barns".split()
+    texts = [" ".join([*map(str, range(i + 1)), *words[: 5 + i % 3]]) for i in range(4, 10)]
+    docs = documents(spark, [(i, t, None) for i, t in enumerate(texts)])
+    write = type(docs.write).parquet
+
+    def largest(items):
+        plans = []
+        kept = lambda self, *a, **b: (plans.append(plan_lines(self._df)), write(self, *a, **b))[1]
+        with monkeypatch.context() as patch:
+            patch.setattr(type(docs.write), "parquet", kept)
+            found = template_matches(docs, spark.createDataFrame(items, "item_id long, text string"))
+        assert {(r.doc_id, r.item_id) for r in found.collect()} >= {(i, i) for i, _ in items}
+        return max([*plans, plan_lines(found)])
+
+    few, many = largest(list(enumerate(texts))[:1]), largest(list(enumerate(texts)))
+    assert many <= few
+
+
 def test_templates_of_few_literals(spark):
     texts = ["A car drives 120 km in 2 hours. How far in 5 hours?", "What is 12 + 34 + 56 + 78?", "12 + 34", "Is 5 prime?"]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
