@@ -3,6 +3,7 @@
 import contextlib
 import hashlib
 import io
+import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -282,6 +283,15 @@ def test_code_lengths_are_those_of_a_distribution(spark):
     assert whole.shape == (1, 2) and (whole > 0).all()
 
 
+def test_language_model_travels_as_counts(spark):
+    docs = documents(spark, [(i, t, lang) for i, (t, lang) in enumerate([("the cat sat", "en"), ("le chat dort", "fr")] * 5)])
+    model = language_id.fit(docs)
+    sent = pickle.dumps(model)
+    # not the resolved trees, which are as large for few texts as for many
+    assert model.cost.dtype == np.float32 and len(sent) < model.cost.nbytes / 4
+    assert np.array_equal(pickle.loads(sent).cost, model.cost) and np.array_equal(pickle.loads(sent).node, model.node)
+
+
 def test_only_texts_are_sent_to_the_language_model(spark):
     pair = [("the cat sat on the mat", "en"), ("le chat dort sur le lit", "fr")]
     docs = documents(spark, [(i, t if i % 7 else None if i % 2 else "12 --", lang) for i, (t, lang) in enumerate(pair * 400)]).coalesce(1)
