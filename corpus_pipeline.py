@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from broadsheet.llm.common import row_key, shared_table, small_batches, text_of
 from broadsheet.llm.decontaminate import template_matches
 from broadsheet.llm.exact_dedup import exact_duplicates
-from broadsheet.llm.language_id import UNKNOWN, fit, identify
+from broadsheet.llm.language_id import UNKNOWN, fit, identify, share
 from broadsheet.llm.ngram_join import near_duplicates
 from broadsheet.llm.packing import pack
 
@@ -54,13 +54,14 @@ def _known_language(spark: SparkSession, docs: DataFrame) -> DataFrame:
     model = fit(docs.select("doc_id", "text", "lang"))
     if model is None:  # no row teaches; what has letters is in some language
         return docs.filter(text_of().rlike(r"\p{L}"))
-    sent = spark.sparkContext.broadcast(model)
+    sent = share(spark, model)
     del model
     plain = _plain(docs).withColumnRenamed(_at(docs, "text"), "text")
     found = identify(plain, sent, plain.columns)
     kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") < RAW_BITS))
     kept = shared_table(kept.select(plain.columns).toDF(*docs.columns), "known_language")
-    sent.destroy()
+    for piece in sent:
+        piece.destroy()
     return kept
 
 

@@ -306,6 +306,75 @@ def test_only_texts_are_sent_to_the_language_model(spark):
     assert np.allclose([r.bits_per_byte * len(r.text.encode()) for r in rows], bits)
 
 
+def partly_matched_bits(trained, text):
+    """Bits of a text after training texts, by escape method C with exclusion over all 256 bytes."""
+    seen = {}
+    for t in trained:
+        padded = [256] * 3 + list(t)
+        for i in range(3, len(padded)):
+            for order in range(4):
+                seen.setdefault(tuple(padded[i - order : i]), Counter())[padded[i]] += 1
+
+    def probability(context, byte, excluded=frozenset()):
+        """Of the byte after the context, among those not excluded."""
+        if context is None:
+            return 1 / (256 - len(excluded))
+        longer = context[1:] if context else None
+        counts = seen.get(context)
+        if not counts:
+            return probability(longer, byte, excluded)
+        # exclusion narrows what a context escapes to, not its own counts
+        whole = sum(counts.values()) + (len(counts) if len(counts) < 256 else 0)
+        if byte in counts:
+            p = counts[byte] / whole
+        else:
+            p = len(counts) / whole * probability(longer, byte, frozenset(counts))
+        if not excluded:
+            return p
+        return p / (1 - sum(probability(context, other) for other in excluded))
+
+    padded = [256] * 3 + list(text)
+    return sum(-np.log2(probability(tuple(padded[i - 3 : i]), padded[i])) for i in range(3, len(padded)))
+
+
+def many_scripts(spark):
+    """Two languages of few texts that need most byte values, under one that has most texts and some 20,000 contexts."""
+    rng = np.random.default_rng(4)
+    large = ["".join(map(chr, rng.integers(33, 127, 900))) for _ in range(30)]
+    small = [("zu", "".join(chr(0x400 + (7 * i + j) % 256) for j in range(120))) for i in range(6)]
+    small += [("yo", "".join(chr(0x4E00 + (977 * i + 61 * j) % 4096) for j in range(120)) + "\0\x01 ab") for i in range(6)]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate([("en", t) for t in large] + small)]
+    docs = documents(spark, rows)
+    out = {r.doc_id for r in docs.filter(language_id.held_out()).select("doc_id").collect()}
+    trained = {lang: [t.encode() for i, t, of in rows if of == lang and i not in out] for lang in ("en", "yo", "zu")}
+    return docs, trained
+
+
+def test_language_model_is_whole(spark):
+    docs, trained = many_scripts(spark)
+    assert len({b for ts in trained.values() for t in ts for b in t}) > 160
+    assert len({t[i : i + 3] for t in trained["en"] for i in range(len(t))}) > 12_000
+    model = language_id.fit(docs)
+    # seen and unseen, of several scripts, empty, short, bytes that no text has
+    texts = [trained["en"][3][:90], trained["zu"][1], trained["yo"][1][:80], "Жук ab 中文 xyz".encode(), b"", b"a", b"\0\0", b"\xff\xfe\xc1" * 3]
+    expected = [[partly_matched_bits(trained[lang], t) for lang in model.languages] for t in texts]
+    assert model.languages == ("en", "yo", "zu") and np.allclose(language_id.code_lengths(model, texts), expected, rtol=1e-6)
+
+
+def test_language_model_in_parts(spark, monkeypatch):
+    docs, trained = many_scripts(spark)
+    whole, parts = language_id.fit(docs), language_id.fit(docs, cells=2_000)
+    assert len(whole.parts) == 1 and len(parts.parts) > 8
+    texts = [t for ts in trained.values() for t in ts] + [b"\xff new \0", b""]
+    bits = language_id.code_lengths(whole, texts)
+    assert np.array_equal(language_id.code_lengths(parts, texts), bits)
+    found, again = (rows_of(language_id.identify(docs, m), "doc_id", "lang_pred", "score", "bits_per_byte") for m in (whole, parts))
+    assert found == again and len(found) == 42 and all(r[1] == ("en" if r[0] < 30 else "zu" if r[0] < 36 else "yo") for r in found)
+    # whatever the length of the pieces that a text is cut into
+    monkeypatch.setattr(language_id, "CHUNK", 64)
+    assert np.allclose(language_id.code_lengths(whole, texts), bits)
+
+
 def test_batches_for_python_are_bounded_by_bytes(spark):
     @F.arrow_udf("long")
     def size(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
